@@ -8,11 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
 from .tokenize import token_ids
+from .truncation import truncated, truncation_shares
 
 
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return token_ids(table(spark, d, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p6_ids": p6_ids}
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return truncated(table(spark, d, "documents")).filter("cut").select("doc_id").distinct()
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    """How often each source truncates."""
+    return truncation_shares(table(spark, d, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p6_ids": p6_ids, "p8_found": p8_found, "p8_shares": p8_shares}
 SQL: dict[str, str] = {}
