@@ -20,4 +20,4 @@ def first_delivery(df: DataFrame, key: str, columns: list[str], order: str) -> D
 
 def distinct_deliveries(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows that differ in ``columns``; a hash aggregate, combined before the shuffle."""
-    return df.groupBy(*columns).agg()
+    return df.select(*columns).distinct()
