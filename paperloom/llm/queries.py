@@ -7,14 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
+from .leakage import leaked_items
+from .lookalike import consistent, learn_scripts, same_looking_labels
 from .tokenize import token_ids
 from .truncation import truncated, truncation_shares
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return same_looking_labels(table(spark, d, "ocr_words"), table(spark, d, "recognition_labels"))
+
+
+def p1_forms(spark: SparkSession, d: str) -> DataFrame:
+    """Every value in its consistent form."""
+    words = table(spark, d, "ocr_words")
+    return consistent(words.select("word_id", "value").distinct(), {"value": "form"}, learn_scripts(words, "value"))
+
+
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return token_ids(table(spark, d, "documents"))
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return leaked_items(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return truncated(table(spark, d, "documents")).filter("cut").select("doc_id").distinct()
 
@@ -24,5 +40,5 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return truncation_shares(table(spark, d, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p6_ids": p6_ids, "p8_found": p8_found, "p8_shares": p8_shares}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_forms, p6_ids, p7_found, p8_found, p8_shares)}
 SQL: dict[str, str] = {}
