@@ -29,16 +29,22 @@ from ..session import checkpoint
 
 #: Characters that a cut may leave behind, and blanks; invisible ones, which are no part of any comparison.
 LEFT, INVISIBLE = "[\\s  -  　…�\\\\]+$", "­​‌‍‎‏⁠﻿"
-TERMINATED = r"""[.!?;:\u3002\uff0e\uff01\uff1f)\]\u00bb\u201d"'\u2019]$|[\u00b9\u00b2\u00b3\u207e\u207d]$"""
+TERMINATED = r"""[.!?;:。．！？)\]»”"]$|[.!?]['’]$|[¹²³⁾⁽]$"""
 BULLET = r"^\s*(?:[-\u2013\u2014*\u2022\u25aa\u2610\u00b7\u25e6]|\(?\w{1,3}[.)])\s+"
 STRUCTURED = BULLET + r"|\t|\s\s|;|\||:(?:\s|$)"
+#: Characters of the longest line that can be an entry or a row.
+ENTRY = 200
 SEPARATOR = r"\t|\s\s+|;|\||:(?:\s|$)"
 
 
+def _numberless(unit: Column) -> Column:
+    """Without bullet, numbers, and the sign before a number."""
+    return F.regexp_replace(F.regexp_replace(unit, BULLET, ""), r"(?:\S{1,3}\s+)?\S*\p{N}\S*", " ")
+
+
 def _units(df: DataFrame, unit: str) -> DataFrame:
     """Adds the ``words`` of a unit in lower case, without bullets, numbers and names, and their ``skeleton``."""
-    bare = F.regexp_replace(F.regexp_replace(unit, BULLET, ""), r"\S{1,3}\s+(?=\S*\p{N})", " ")  # with the sign of a number
-    words = F.filter(F.split(F.regexp_replace(bare, r"[^\p{L}\p{M}\p{N}/_-]+", " "), " "), lambda w: w != "")
+    words = F.filter(F.split(F.regexp_replace(_numberless(F.col(unit)), r"[^\p{L}\p{M}\p{N}/_-]+", " "), " "), lambda w: w != "")
     kept = F.filter(words, lambda w, i: ~w.rlike(r"\p{N}|_|^(.)\1+$") & ((i == 0) | ~w.rlike(r"^\p{Lu}")))
     return df.withColumn("words", F.transform(kept, lambda w: F.lower(w))).withColumn("skeleton", F.array_join("words", " "))
 
@@ -49,7 +55,7 @@ def _entry(line: Column) -> Column:
 
 
 def _texts(documents: DataFrame) -> DataFrame:
-    text = F.regexp_replace(F.regexp_replace(F.translate("text", INVISIBLE, ""), r"\r\n?", "\n"), LEFT, "")
+    text = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", f"[{INVISIBLE}]", ""), r"\r\n?", "\n"), LEFT, "")
     return documents.filter(F.col("text").rlike(r"\S")).select("doc_id", "source", "n_chars", text.alias("text"), F.length("text").alias("chars"), F.octet_length("text").alias("bytes"), F.xxhash64("text").alias("fingerprint"), F.col("text").endswith("\ufffd").alias("broken"))
 
 
@@ -108,8 +114,9 @@ def truncation_evidence(documents: DataFrame, spike: int = 4, rare: float = 0.02
 
     # Words of the corpus but for the final tokens; the trie's nodes below the final tokens.
     tokens = F.split(F.lower("text"), r"[^\p{L}\p{M}.!?]+")
-    words = texts.select(F.explode(F.slice(tokens, 1, F.size(tokens) - 1)).alias("token")).select(F.expr("trim(BOTH '.!?' FROM token)").alias("word"), F.expr("token rlike '[.!?]$'").alias("at_end"))
-    words = words.filter("word != ''").groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("at_end").cast("int")).alias("ends"))
+    counts = texts.select(F.explode(F.slice(tokens, 1, F.size(tokens) - 1)).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.select(F.expr("trim(BOTH '.!?' FROM token)").alias("word"), "n", F.substring("token", -1, 1).isin(".", "!", "?").alias("at_end")).filter("word != ''")
+    words = counts.groupBy("word").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("at_end"), F.col("n")).otherwise(0)).alias("ends"))
     words = checkpoint(words.filter("n >= 3"))
     finals = ends.filter(~F.col("ended") & (F.col("last") != "")).select(F.lower("last").alias("node")).distinct()
     prefixes = words.filter("length(word) > 1").select("n", F.explode(F.expr("transform(sequence(1, length(word) - 1), i -> left(word, i))")).alias("node"))
@@ -120,8 +127,9 @@ def truncation_evidence(documents: DataFrame, spike: int = 4, rare: float = 0.02
 
     # Units that stand alone: entries and labels inside texts, and frequent ends of whole texts.
     lines = F.split("text", "\n")
-    inner = texts.select(F.explode(F.slice(lines, 1, F.size(lines) - 1)).alias("line")).filter(F.col("line").rlike(STRUCTURED) & ~F.col("line").rlike(r"[.!?]\s*$"))
-    alone = _units(inner.select(_entry(F.col("line")).alias("unit")), "unit").filter("skeleton != ''").groupBy("skeleton").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2")
+    inner = texts.select(F.explode(F.slice(lines, 1, F.size(lines) - 1)).alias("line")).filter((F.length("line") <= ENTRY) & ~F.substring(F.rtrim("line"), -1, 1).isin("", ".", "!", "?") & F.col("line").rlike(STRUCTURED))
+    inner = inner.groupBy(_numberless(_entry(F.col("line"))).alias("unit")).agg(F.count(F.lit(1)).alias("n"))
+    alone = _units(inner, "unit").filter("skeleton != ''").groupBy("skeleton").agg(F.sum("n").alias("n")).filter("n >= 2")
     closings = ends.filter(~F.col("ended") & ~F.col("by_limit") & ~F.col("by_report")).groupBy("skeleton").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= at_least(0.0005))
     alone = alone.union(closings).select(F.col("skeleton").alias("_alone")).distinct()
     ends = ends.join(alone, ends.skeleton == F.col("_alone"), "left")
