@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
+from .language import detect_languages, language_cases
 from .leakage import leaked_items
 from .lookalike import consistent, learn_scripts, same_looking_labels
+from .quality import page_statistics
 from .tokenize import token_ids
 from .truncation import truncated, truncation_shares
 
@@ -23,6 +25,24 @@ def p1_forms(spark: SparkSession, d: str) -> DataFrame:
     return consistent(words.select("word_id", "value").distinct(), {"value": "form"}, learn_scripts(words, "value"))
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    words = table(spark, d, "ocr_words")
+    return language_cases(words, table(spark, d, "ocr_pages"), page_statistics(words).select("page_id", "kind"))
+
+
+def p2_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Language and confidence of every page."""
+    return detect_languages(table(spark, d, "ocr_words"), table(spark, d, "ocr_pages"))[0]
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return page_statistics(table(spark, d, "ocr_words")).filter("kind != 'prose'").select("page_id", "kind")
+
+
+def p3_statistics(spark: SparkSession, d: str) -> DataFrame:
+    return page_statistics(table(spark, d, "ocr_words"))
+
+
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return token_ids(table(spark, d, "documents"))
 
@@ -40,5 +60,5 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return truncation_shares(table(spark, d, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_forms, p6_ids, p7_found, p8_found, p8_shares)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_forms, p2_found, p2_pages, p3_found, p3_statistics, p6_ids, p7_found, p8_found, p8_shares)}
 SQL: dict[str, str] = {}
