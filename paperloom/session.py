@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,6 +41,24 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Lets the Python workers import this package, where their path has no copy of it."""
+    root = Path(__file__).resolve().parent.parent
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped or str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    made = os.path.join(tempfile.mkdtemp(), "paperloom.zip")  # the driver serves it to the executors
+    with zipfile.ZipFile(made, "w") as z:
+        for f in (root / "paperloom").rglob("*.py"):
+            z.write(f, f.relative_to(root))
+    sc.addPyFile(made)
+    _shipped.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a data folder."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
