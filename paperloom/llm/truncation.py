@@ -22,58 +22,138 @@ row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+from collections import Counter
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint
 
-#: Characters that a cut may leave behind, and blanks; invisible ones, which are no part of any comparison.
-LEFT, INVISIBLE = "[\\s  -  　…�\\\\]+$", "­​‌‍‎‏⁠﻿"
-TERMINATED = r"""[.!?;:。．！？)\]»”"]$|[.!?]['’]$|[¹²³⁾⁽]$"""
-BULLET = r"^\s*(?:[-\u2013\u2014*\u2022\u25aa\u2610\u00b7\u25e6]|\(?\w{1,3}[.)])\s+"
-STRUCTURED = BULLET + r"|\t|\s\s|;|\||:(?:\s|$)"
+#: Invisible characters, which are no part of any comparison, and what a cut may leave behind.
+INVISIBLE = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff]")
+LEFT = " \t\n\r\f\v\u00a0\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u3000\u2026\ufffd\\"
+TERMINATED = re.compile("""[.!?;:\u3002\uff0e\uff01\uff1f)\\]\u00bb\u201d"]$|[.!?]['\u2019]$|[\u00b9\u00b2\u00b3\u207e\u207d]$""")
+_BULLET = "^\\s*(?:[-\u2013\u2014*\u2022\u25aa\u2610\u00b7\u25e6]|\\(?WORD{1,3}[.)])\\s"
+BULLET = re.compile(_BULLET.replace("WORD", "\\w") + "+")
+SEPARATOR = re.compile("\\t|\\s\\s+|;|\\||:(?:\\s|$)")
+#: An entry of a list or a row, for Python and for Arrow.
+STRUCTURED = re.compile(BULLET.pattern + "|" + SEPARATOR.pattern)
+STRUCTURED_ARROW = _BULLET.replace("WORD", "[\\pL\\pN_]") + "|\\t|\\s\\s|;|\\||:(?:\\s|$)"
 #: Characters of the longest line that can be an entry or a row.
 ENTRY = 200
-SEPARATOR = r"\t|\s\s+|;|\||:(?:\s|$)"
-
-
-def _numberless(unit: Column) -> Column:
-    """Without bullet, numbers, and the sign before a number."""
-    return F.regexp_replace(F.regexp_replace(unit, BULLET, ""), r"(?:\S{1,3}\s+)?\S*\p{N}\S*", " ")
-
-
-def _units(df: DataFrame, unit: str) -> DataFrame:
-    """Adds the ``words`` of a unit in lower case, without bullets, numbers and names, and their ``skeleton``."""
-    words = F.filter(F.split(F.regexp_replace(_numberless(F.col(unit)), r"[^\p{L}\p{M}\p{N}/_-]+", " "), " "), lambda w: w != "")
-    kept = F.filter(words, lambda w, i: ~w.rlike(r"\p{N}|_|^(.)\1+$") & ((i == 0) | ~w.rlike(r"^\p{Lu}")))
-    return df.withColumn("words", F.transform(kept, lambda w: F.lower(w))).withColumn("skeleton", F.array_join("words", " "))
-
-
-def _entry(line: Column) -> Column:
+DIGIT = "\\d\u00b2\u00b3\u00b9\u00bc-\u00be\u2070-\u2089\u2150-\u218f\u2460-\u24ff"
+NUMBER = re.compile(f"(?:\\S{{1,3}}\\s+)?\\S*[{DIGIT}]\\S*")
+LETTERS = "[^\\W\\d_]|[\u0300-\u036f]"
+PIECE = re.compile(f"(?:{LETTERS})+")
+LAST = re.compile(f"((?:{LETTERS})+)$")
+PART = re.compile("[\\w\u0300-\u036f/-]+")
+DROPPED = re.compile(f"[{DIGIT}_]|^(.)\\1+$")
+PARAGRAPH, SENTENCE, MARK = re.compile("\\n[ \\t\u00a0]*\\n"), re.compile("(?<=[.!?])\\s+"), re.compile("[!?]|\\.\\s+[^\\W\\d_]+[\\s,]")
+#: Distinct keys a task counts before it passes its counts on.
+MOST_KEYS = 300_000
+SCHEMA = "part string, doc_id {doc}, source string, n_chars long, chars long, bytes long, fingerprint long, broken boolean, prose boolean, ended boolean, last string, letters double, words array<string>, skeleton string, n long, ends long"
+
+
+def entry(line: str) -> str:
     """Of a list entry all, of a row or form its label."""
-    return F.when(line.rlike(BULLET), line).otherwise(F.element_at(F.split(line, SEPARATOR), 1))
-
-
-def _texts(documents: DataFrame) -> DataFrame:
-    text = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", f"[{INVISIBLE}]", ""), r"\r\n?", "\n"), LEFT, "")
-    return documents.filter(F.col("text").rlike(r"\S")).select("doc_id", "source", "n_chars", text.alias("text"), F.length("text").alias("chars"), F.octet_length("text").alias("bytes"), F.xxhash64("text").alias("fingerprint"), F.col("text").endswith("\ufffd").alias("broken"))
-
-
-def _ends(texts: DataFrame) -> DataFrame:
-    """How each text ends, without the text."""
-    line, paragraph = F.col("line"), F.col("paragraph")
-    plain_list = paragraph.contains("\n") & paragraph.rlike(r"^\P{L}*\p{Ll}") & ~paragraph.rlike(r"[!?]|\.\s+\p{L}+[\s,]")
-    unit = F.when(line.rlike(STRUCTURED), _entry(line)).when(plain_list, line).otherwise(F.element_at(F.split("paragraph", r"(?<=[.!?])[\s\u00a0]+"), -1))
-    rows = (
-        texts.withColumn("paragraph", F.element_at(F.split("text", r"\n[ \t\u00a0]*\n"), -1))
-        .withColumn("line", F.element_at(F.split("paragraph", "\n"), -1))
-        .withColumn("unit", unit)
-        .withColumn("ended", F.substring("text", -3, 3).rlike(TERMINATED) | (line.rlike(STRUCTURED) & ~line.rlike(r"\p{L}$")))
-        .withColumn("last", F.regexp_extract("line", r"([\p{L}\p{M}]+)$", 1))
-        .withColumn("letters", F.length(F.regexp_replace("unit", r"\P{L}", "")) / F.greatest(F.lit(1), F.length(F.regexp_replace("unit", r"\s", ""))))
-    )
-    rows = rows.withColumn("prose", ~line.rlike(STRUCTURED) & ~plain_list)
-    return _units(rows, "unit").select("doc_id", "source", "n_chars", "chars", "bytes", "fingerprint", "broken", "prose", "ended", "last", "letters", "words", "skeleton")
+    return line if BULLET.match(line) else SEPARATOR.split(line, maxsplit=1)[0]
+
+
+def skeleton_words(unit: str) -> list[str]:
+    """Words of a unit in lower case, without bullet, numbers and their signs, and names."""
+    parts = PART.findall(NUMBER.sub(" ", BULLET.sub("", unit, count=1)))
+    return [w.lower() for i, w in enumerate(parts) if not DROPPED.search(w) and (i == 0 or not w[0].isupper())]
+
+
+def end_of(text: str) -> tuple[bool, bool, bool, str, float, list[str]]:
+    """``broken, prose, ended, last, letters, words`` of a text's end."""
+    broken = text.endswith("\ufffd")
+    text = text.rstrip(LEFT)
+    paragraph = PARAGRAPH.split(text)[-1]
+    line = paragraph.rsplit("\n", 1)[-1]
+    structured = bool(STRUCTURED.search(line))
+    first = next((c for c in paragraph if c.isalpha()), "")
+    plain_list = "\n" in paragraph and first.islower() and not MARK.search(paragraph)
+    unit = entry(line) if structured else line if plain_list else SENTENCE.split(paragraph)[-1]
+    ended = bool(TERMINATED.search(text[-3:])) or (structured and not line[-1:].isalpha())
+    last = LAST.search(line)
+    dense = "".join(unit.split())
+    letters = sum(map(str.isalpha, dense)) / max(1, len(dense))
+    return broken, not structured and not plain_list, ended, last[1] if last else "", letters, skeleton_words(unit)
+
+
+def _counts(texts: pa.Array, words: dict[str, list[int]], units: Counter[str]) -> None:
+    """Adds the words of the texts but their last, and the entries of their lines but the last."""
+    tokens = pc.utf8_split_whitespace(pc.utf8_lower(texts)).flatten().value_counts()
+    for token, n in zip(tokens.field(0).to_pylist(), tokens.field(1).to_pylist()):
+        stop = token[-1:] in (".", "!", "?")
+        for w in [token[:-1] if stop else token] if token[:-1].isalpha() and (stop or token.isalpha()) else PIECE.findall(token):
+            if (c := words.get(w)) is None:
+                words[w] = c = [0, 0]
+            c[0] += n
+        if stop and token[:-1]:
+            if (c := words.get(w) if (found := PIECE.findall(token)) and token[:-1].endswith(w := found[-1]) else None) is not None:
+                c[1] += n
+    lines = pc.split_pattern(texts, "\n")
+    ends = lines.offsets.to_numpy()
+    flat = pc.utf8_rtrim_whitespace(lines.flatten())
+    keep = np.ones(len(flat), bool)
+    keep[ends[1:][ends[1:] > ends[:-1]] - 1 - ends[0]] = False
+    flat = flat.filter(pa.array(keep & pc.less_equal(pc.utf8_length(flat), ENTRY).to_numpy(zero_copy_only=False)))
+    flat = flat.filter(pc.and_not(pc.match_substring_regex(flat, STRUCTURED_ARROW), pc.match_substring_regex(flat, "[.!?]$|^$"))).value_counts()
+    for line, n in zip(flat.field(0).to_pylist(), flat.field(1).to_pylist()):
+        if key := " ".join(skeleton_words(entry(line))):
+            units[key] += n
+
+
+def _parts(documents: DataFrame) -> DataFrame:
+    """One pass over the texts: a row for the end of each, and counts of words and of entries by task."""
+    doc_type = documents.schema["doc_id"].dataType.simpleString()
+    schema = SCHEMA.format(doc=doc_type)
+
+    def rows(part: str, fields: dict[str, pa.Array], n: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([part] * n) if f.name == "part" else fields[f.name].cast(f.type) if f.name in fields else pa.nulls(n, f.type) for f in target], schema=target)
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    target = to_arrow_schema(documents.sparkSession.createDataFrame([], schema).schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: dict[str, list[int]] = {}
+        units: Counter[str] = Counter()
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            yield rows("word", {"last": pa.array(words, pa.string()), "n": pa.array([c[0] for c in words.values()], pa.int64()), "ends": pa.array([c[1] for c in words.values()], pa.int64())}, len(words))
+            yield rows("unit", {"skeleton": pa.array(units, pa.string()), "n": pa.array(units.values(), pa.int64())}, len(units))
+            words.clear()
+            units.clear()
+
+        for b in batches:
+            texts = b.column(b.schema.get_field_index("text"))
+            texts = pc.replace_substring(pc.replace_substring(texts, "\r\n", "\n"), "\r", "\n")
+            texts = pc.replace_substring_regex(texts, "[\u00ad\u200b-\u200f\u2060\ufeff]", "")
+            ends = [end_of(t) for t in texts.to_pylist()]
+            _counts(texts, words, units)
+            for e in ends:
+                if e[3] and (c := words.get(e[3].lower())):
+                    c[0] -= 1
+            made = dict(zip(("broken", "prose", "ended", "last", "letters", "words"), (pa.array(x) for x in zip(*ends)))) if ends else {}
+            if ends:
+                made["words"] = pa.array([e[5] for e in ends], pa.list_(pa.string()))
+                made["skeleton"] = pa.array([" ".join(e[5]) for e in ends])
+                yield rows("end", {c: b.column(b.schema.get_field_index(c)) for c in ("doc_id", "source", "n_chars", "chars", "bytes", "fingerprint")} | made, b.num_rows)
+            if len(words) + len(units) > MOST_KEYS:
+                yield from counted()
+        yield from counted()
+
+    text = F.col("text").cast("string")
+    kept = documents.filter(text.rlike(r"\S")).select("doc_id", F.col("source").cast("string").alias("source"), F.col("n_chars").cast("long").alias("n_chars"), F.length(text).cast("long").alias("chars"), F.octet_length(text).cast("long").alias("bytes"), F.xxhash64(text).alias("fingerprint"), text.alias("text"))
+    return kept.mapInArrow(run, schema)
 
 
 def _sources(ends: DataFrame, spike: int) -> DataFrame:
@@ -102,8 +182,8 @@ def truncation_evidence(documents: DataFrame, spike: int = 4, rare: float = 0.02
     known; ``name_share``: the same for what a capitalised prefix must lead to,
     as there are many more names than nouns.
     """
-    texts = _texts(documents)
-    ends = checkpoint(_ends(texts))  # read six times below
+    parts = checkpoint(_parts(documents))  # small against the texts, and read several times
+    ends = parts.filter("part = 'end'").drop("part", "n", "ends")
     total = ends.count()
     at_least = lambda share: max(3, share * total)
 
@@ -113,10 +193,7 @@ def truncation_evidence(documents: DataFrame, spike: int = 4, rare: float = 0.02
     ends = ends.withColumn("by_limit", over("chars", "char_limit") | over("bytes", "byte_limit")).withColumn("by_report", F.coalesce(F.col("n_chars") > true_size, F.lit(False)))
 
     # Words of the corpus but for the final tokens; the trie's nodes below the final tokens.
-    tokens = F.split(F.lower("text"), r"[^\p{L}\p{M}.!?]+")
-    counts = texts.select(F.explode(F.slice(tokens, 1, F.size(tokens) - 1)).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.select(F.expr("trim(BOTH '.!?' FROM token)").alias("word"), "n", F.substring("token", -1, 1).isin(".", "!", "?").alias("at_end")).filter("word != ''")
-    words = counts.groupBy("word").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("at_end"), F.col("n")).otherwise(0)).alias("ends"))
+    words = parts.filter("part = 'word'").groupBy(F.col("last").alias("word")).agg(F.sum("n").alias("n"), F.sum("ends").alias("ends"))
     words = checkpoint(words.filter("n >= 3"))
     finals = ends.filter(~F.col("ended") & (F.col("last") != "")).select(F.lower("last").alias("node")).distinct()
     prefixes = words.filter("length(word) > 1").select("n", F.explode(F.expr("transform(sequence(1, length(word) - 1), i -> left(word, i))")).alias("node"))
@@ -126,10 +203,7 @@ def truncation_evidence(documents: DataFrame, spike: int = 4, rare: float = 0.02
     ends = ends.join(words.select(F.col("word").alias("_word"), ((F.col("ends") + 0.5) / (F.col("n") + 10)).alias("stops")), F.lower("last") == F.col("_word"), "left").drop("_word")
 
     # Units that stand alone: entries and labels inside texts, and frequent ends of whole texts.
-    lines = F.split("text", "\n")
-    inner = texts.select(F.explode(F.slice(lines, 1, F.size(lines) - 1)).alias("line")).filter((F.length("line") <= ENTRY) & ~F.substring(F.rtrim("line"), -1, 1).isin("", ".", "!", "?") & F.col("line").rlike(STRUCTURED))
-    inner = inner.groupBy(_numberless(_entry(F.col("line"))).alias("unit")).agg(F.count(F.lit(1)).alias("n"))
-    alone = _units(inner, "unit").filter("skeleton != ''").groupBy("skeleton").agg(F.sum("n").alias("n")).filter("n >= 2")
+    alone = parts.filter("part = 'unit'").groupBy("skeleton").agg(F.sum("n").alias("n")).filter("n >= 2")
     closings = ends.filter(~F.col("ended") & ~F.col("by_limit") & ~F.col("by_report")).groupBy("skeleton").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= at_least(0.0005))
     alone = alone.union(closings).select(F.col("skeleton").alias("_alone")).distinct()
     ends = ends.join(alone, ends.skeleton == F.col("_alone"), "left")
