@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from ..operators.dedup import first_delivery
 from .lookalike import MEMBERS, script_of
-from .pagestream import by_chunk, coded, once, page_words, starts, whole_groups
-from .quality import bare
+from .pagestream import chunk_words, coded, starts, word_tables
+from .quality import WORD, bare
 
 #: Codes, three-letter codes and English names of the languages (fixed values).
 NAMES = {
@@ -119,27 +119,28 @@ def viterbi(score: np.ndarray, start: np.ndarray, switch: float = SWITCH) -> np.
 def block_languages(words: DataFrame, scores: dict[str, np.ndarray]) -> DataFrame:
     """``page_id, block_idx``, words by language and ``lead``: evidence of each language, in nats."""
     shared = words.sparkSession.sparkContext.broadcast(scores)
-    rows = by_chunk(page_words(words.filter("value is not null"), value=F.col("value")))
+    rows = chunk_words(words.filter("value is not null"), value=F.col("value"))
 
     def lookup(values: list[str]) -> np.ndarray:
         known, nothing = shared.value, np.zeros(len(LANGUAGES), np.float32)
-        made = np.zeros((len(values), len(LANGUAGES)), np.float32)
+        made = np.zeros((len(values), len(LANGUAGES) + 1), np.float32)  # the last: is it a word at all?
         for i, v in enumerate(values):
-            made[i] = known.get(bare(v) or v.lower(), nothing)
+            made[i, :-1] = known.get(bare(v) or v.lower(), nothing)
+            made[i, -1] = bool(WORD.search(v))
         return made
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in whole_groups(batches, ["page_id", "block_idx", "chunk"]):
-            t = once(t)
+        for t in word_tables(batches):
             page, block = (t.column(c).to_numpy() for c in ("page_id", "block_idx"))
-            score = coded(t.column("value"), lookup)
+            traits = coded(t.column("value"), lookup)
+            score = traits[:, :-1]
             at = np.flatnonzero(starts(page, block, t.column("chunk").to_numpy()))
             label = viterbi(score, at)
             known = np.abs(score).sum(axis=1) > 0
             n = np.zeros((len(page), len(LANGUAGES)), np.int64)
             n[np.flatnonzero(known), label[known]] = 1
             count, lead = np.add.reduceat(n, at), np.add.reduceat(score.astype(np.float64), at)
-            size = np.diff(np.append(at, len(page)))
+            size = np.add.reduceat((traits[:, -1] > 0).astype(np.int64), at)
             arrays = [pa.array(page[at]), pa.array(block[at].astype(np.int32)), pa.array(size), *(pa.array(count[:, i]) for i in range(len(LANGUAGES))), *(pa.array(lead[:, i]) for i in range(len(LANGUAGES)))]
             yield pa.RecordBatch.from_arrays(arrays, ["page_id", "block_idx", "n_words", *(f"n_{x}" for x in LANGUAGES), *(f"lead_{x}" for x in LANGUAGES)])
 
@@ -173,7 +174,7 @@ def detect_languages(words: DataFrame, pages: DataFrame, margin: float = 6.0) ->
     scores = word_scores(words, labels.filter("label is not null").select("page_id", F.col("label").alias("lang")))
     blocks = block_languages(words, scores)
     counts = blocks.groupBy("page_id").agg(*(F.sum(c).alias(c) for c in ["n_words", *(f"n_{x}" for x in LANGUAGES)]))
-    main = _judged(counts, 3, 0.2).select("page_id", "lang", "confidence")
+    main = _judged(counts, 3, 0.3).select("page_id", "lang", "confidence")
     out = labels.join(main, "page_id").select("page_id", "label", "lang", "confidence")
     against = sum(F.when(F.col("main") == x, F.col(f"lead_{x}")).otherwise(0.0) for x in LANGUAGES)
     ahead = F.greatest(*(F.col(f"lead_{x}") for x in LANGUAGES)) - against
@@ -182,13 +183,12 @@ def detect_languages(words: DataFrame, pages: DataFrame, margin: float = 6.0) ->
     return out, own.select("page_id", "block_idx", "lang", "confidence", "main")
 
 
-def language_cases(words: DataFrame, pages: DataFrame, kinds: DataFrame | None = None) -> DataFrame:
+def language_cases(words: DataFrame, pages: DataFrame) -> DataFrame:
     """``page_id, block_idx, lang``: wrong or missing labels (block -1) and blocks in another language.
 
-    ``kinds``: ``page_id, kind``; pages of kind junk are no cases.
+    Junk pages, few of whose words the model knows, have no language and are no cases.
     """
     page, block = detect_languages(words, pages)
     wrong = page.filter("lang is not null and not (label <=> lang)").select("page_id", F.lit(-1).alias("block_idx"), "lang")
     other = block.filter("lang is not null and main is not null and lang != main").select("page_id", "block_idx", "lang")
-    cases = wrong.union(other)
-    return cases if kinds is None else cases.join(kinds.filter("kind = 'junk'").select("page_id"), "page_id", "left_anti")
+    return wrong.union(other)

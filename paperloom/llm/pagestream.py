@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CHUNK_LINES = 32
-KEYS = ["page_id", "block_idx", "line_idx", "word_idx", "word_id"]
 
 
 def edge(geometry: Column, axis: int, far: bool) -> Column:
@@ -24,39 +23,35 @@ def edge(geometry: Column, axis: int, far: bool) -> Column:
     return F.when(F.size(geometry) == 4, pick(axis, axis + 2)).when(F.size(geometry) == 8, pick(axis, axis + 2, axis + 4, axis + 6)).cast("float")
 
 
-def page_words(words: DataFrame, **columns: Column) -> DataFrame:
-    """Keys and the given columns, each word once; rows without a page, block or line are left out."""
-    kept = words.filter("page_id is not null and block_idx is not null and line_idx is not null and word_id is not null")
-    return kept.select(*KEYS, *(c.alias(n) for n, c in columns.items())).distinct()
-
+def chunk_words(words: DataFrame, **columns: Column) -> DataFrame:
+    """``page_id, block_idx, chunk`` and ``words``: keys and columns of each word, once.
 
-def by_chunk(rows: DataFrame) -> DataFrame:
-    """The rows with the words of a chunk together and in reading order; adds ``chunk``."""
-    chunked = rows.withColumn("chunk", F.floor(F.col("line_idx") / CHUNK_LINES).cast("int"))
-    return chunked.repartition("page_id", "block_idx", "chunk").sortWithinPartitions("page_id", "block_idx", "line_idx", "word_idx", "word_id")
+    Equal deliveries are combined before the shuffle, and a chunk has at most
+    CHUNK_LINES lines.  Rows without a page, block, line or id are left out.
+    """
+    kept = words.filter("page_id is not null and block_idx is not null and line_idx is not null and word_id is not null")
+    chunk = F.floor(F.col("line_idx") / CHUNK_LINES).cast("int").alias("chunk")
+    word = F.struct("line_idx", "word_idx", "word_id", *(c.alias(n) for n, c in columns.items()))
+    return kept.groupBy("page_id", "block_idx", chunk).agg(F.collect_set(word).alias("words"))
 
 
-def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = 20_000) -> Iterator[pa.Table]:
-    """Tables of some thousand rows that end where a group of ``keys`` ends; the rows must be sorted by them."""
-    held: list[pa.RecordBatch] = []
-    count = 0
+def word_tables(batches: Iterator[pa.RecordBatch], rows: int = 1500) -> Iterator[pa.Table]:
+    """Words of whole chunks in reading order, one row a word."""
     for b in batches:
-        held.append(b)
-        count += b.num_rows
-        if count < rows:
-            continue
-        t = pa.Table.from_batches(held).combine_chunks()
-        change = np.zeros(max(0, t.num_rows - 1), bool)
-        for k in keys:
-            v = t.column(k).to_numpy()
-            change |= v[1:] != v[:-1]
-        if change.any():
-            cut = int(np.flatnonzero(change)[-1]) + 1
-            yield t.slice(0, cut)
-            t = t.slice(cut)
-        held, count = t.to_batches(), t.num_rows
-    if count:
-        yield pa.Table.from_batches(held).combine_chunks()
+        for s in range(0, b.num_rows, rows):
+            part = b.slice(s, rows)
+            lists = part.column(3)
+            ends = lists.offsets.to_numpy()
+            of = np.repeat(np.arange(part.num_rows), np.diff(ends))
+            flat = lists.flatten()
+            fields = dict(zip((f.name for f in flat.type), flat.flatten()))
+            line, at, ids = (fields[c].to_numpy(zero_copy_only=False) for c in ("line_idx", "word_idx", "word_id"))
+            order = np.lexsort((ids, at, line, of))
+            fresh = starts(of[order], line[order], ids[order])
+            order = order[fresh]
+            take = pa.array(order)
+            keys = {c: part.column(i).take(pa.array(of[order])) for i, c in enumerate(("page_id", "block_idx", "chunk"))}
+            yield pa.table(keys | {c: v.take(take) for c, v in fields.items()})
 
 
 def starts(*columns: np.ndarray) -> np.ndarray:
@@ -70,15 +65,6 @@ def starts(*columns: np.ndarray) -> np.ndarray:
     return change
 
 
-def once(t: pa.Table) -> pa.Table:
-    """The first row of each word of a sorted table."""
-    ids = t.column("word_id").to_numpy()
-    if not len(ids):
-        return t
-    fresh = starts(ids, t.column("page_id").to_numpy(), t.column("block_idx").to_numpy(), t.column("line_idx").to_numpy())
-    return t if fresh.all() else t.filter(pa.array(fresh))
-
-
 def coded(column: pa.ChunkedArray, table: Callable[[list[str | None]], np.ndarray]) -> np.ndarray:
     """``table`` of the distinct strings, spread over the rows; a null string is ''."""
     e = column.combine_chunks()

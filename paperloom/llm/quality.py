@@ -2,7 +2,7 @@
 
 A page is counted in chunks of lines.  A chunk yields counts that add up, and
 the state at its ends: the edges of its first and last line.  A line is never
-divided between chunks, and a batch ends with a chunk, so the gap between
+divided between chunks, and a task has whole chunks, so the gap between
 neighbouring words and the mark at a line's end are seen whole.  Counts of
 chunks are summed to blocks and those to pages by Spark's partial and final
 aggregates, then ratios and rules follow.
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .lookalike import visible
-from .pagestream import by_chunk, coded, edge, once, page_words, starts, whole_groups
+from .pagestream import chunk_words, coded, edge, starts, word_tables
 
 BULLET = re.compile(r"(?:[-–—*•▪☐☑✓·◦‣○●■□>]|\(?(?:\d{1,3}|[a-z]|[ivx]{1,4})[.)])$", re.I)
 WORD = re.compile(r"[^\W\d_]{2}")
@@ -63,7 +63,7 @@ def block_counts(words: DataFrame, common: set[str] | None = None) -> DataFrame:
     """``page_id, block_idx`` and the counts of a block."""
     known = words.sparkSession.sparkContext.broadcast(common_words(words) if common is None else common)
     g = F.col("geometry")
-    rows = by_chunk(page_words(words, value=F.col("value"), x0=edge(g, 0, False), x1=edge(g, 0, True), confidence=F.col("confidence"), objectness=F.col("objectness_score")))
+    rows = chunk_words(words, value=F.col("value"), x0=edge(g, 0, False), x1=edge(g, 0, True), confidence=F.col("confidence").cast("float"), objectness=F.col("objectness_score").cast("float"))
 
     def traits(values: list[str]) -> np.ndarray:
         out = np.zeros((len(values), 10), np.int32)
@@ -75,8 +75,7 @@ def block_counts(words: DataFrame, common: set[str] | None = None) -> DataFrame:
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in whole_groups(batches, ["page_id", "block_idx", "chunk"]):
-            t = once(t)
+        for t in word_tables(batches):
             page, block, line = (t.column(c).to_numpy() for c in ("page_id", "block_idx", "line_idx"))
             x0, x1 = (t.column(c).to_numpy() for c in ("x0", "x1"))
             q = coded(t.column("value"), traits)

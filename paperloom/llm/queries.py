@@ -26,8 +26,7 @@ def p1_forms(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    words = table(spark, d, "ocr_words")
-    return language_cases(words, table(spark, d, "ocr_pages"), page_statistics(words).select("page_id", "kind"))
+    return language_cases(table(spark, d, "ocr_words"), table(spark, d, "ocr_pages"))
 
 
 def p2_pages(spark: SparkSession, d: str) -> DataFrame:
