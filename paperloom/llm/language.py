@@ -70,6 +70,8 @@ def word_scores(words: DataFrame, languages: DataFrame, share: float = 0.002) ->
     names: dict[str, np.ndarray] = {}
     for r in rows:
         name = bare(r.w) or r.w
+        if name in ("i", "l") or (len(name) > 1 and len(set(name)) == 1):
+            continue  # as bars are read
         names[name] = names.get(name, 0) + np.array([r[x] for x in LANGUAGES], float)
     count = np.array(list(names.values()))
     total = count.sum(axis=0) + 1
@@ -123,10 +125,10 @@ def block_languages(words: DataFrame, scores: dict[str, np.ndarray]) -> DataFram
 
     def lookup(values: list[str]) -> np.ndarray:
         known, nothing = shared.value, np.zeros(len(LANGUAGES), np.float32)
-        made = np.zeros((len(values), len(LANGUAGES) + 1), np.float32)  # the last: is it a word at all?
+        made = np.zeros((len(values), len(LANGUAGES) + 1), np.float32)  # the last: how far it should be known
         for i, v in enumerate(values):
             made[i, :-1] = known.get(bare(v) or v.lower(), nothing)
-            made[i, -1] = bool(WORD.search(v))
+            made[i, -1] = 1.0 if WORD.search(v) else 0.3
         return made
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,11 +142,11 @@ def block_languages(words: DataFrame, scores: dict[str, np.ndarray]) -> DataFram
             n = np.zeros((len(page), len(LANGUAGES)), np.int64)
             n[np.flatnonzero(known), label[known]] = 1
             count, lead = np.add.reduceat(n, at), np.add.reduceat(score.astype(np.float64), at)
-            size = np.add.reduceat((traits[:, -1] > 0).astype(np.int64), at)
+            size = np.add.reduceat(traits[:, -1].astype(np.float64), at)
             arrays = [pa.array(page[at]), pa.array(block[at].astype(np.int32)), pa.array(size), *(pa.array(count[:, i]) for i in range(len(LANGUAGES))), *(pa.array(lead[:, i]) for i in range(len(LANGUAGES)))]
             yield pa.RecordBatch.from_arrays(arrays, ["page_id", "block_idx", "n_words", *(f"n_{x}" for x in LANGUAGES), *(f"lead_{x}" for x in LANGUAGES)])
 
-    schema = f"page_id {words.schema['page_id'].dataType.simpleString()}, block_idx int, n_words long, {SCHEMA}, " + ", ".join(f"lead_{x} double" for x in LANGUAGES)
+    schema = f"page_id {words.schema['page_id'].dataType.simpleString()}, block_idx int, n_words double, {SCHEMA}, " + ", ".join(f"lead_{x} double" for x in LANGUAGES)
     parts = rows.mapInArrow(run, schema)
     return parts.groupBy("page_id", "block_idx").agg(*(F.sum(c).alias(c) for c in parts.columns[2:]))
 
