@@ -23,14 +23,21 @@ def edge(geometry: Column, axis: int, far: bool) -> Column:
     return F.when(F.size(geometry) == 4, pick(axis, axis + 2)).when(F.size(geometry) == 8, pick(axis, axis + 2, axis + 4, axis + 6)).cast("float")
 
 
-def chunk_words(words: DataFrame, **columns: Column) -> DataFrame:
+def chunk_words(words: DataFrame, ahead: bool = False, **columns: Column) -> DataFrame:
     """``page_id, block_idx, chunk`` and ``words``: keys and columns of each word, once.
 
     Equal deliveries are combined before the shuffle, and a chunk has at most
     CHUNK_LINES lines.  Rows without a page, block, line or id are left out.
+    With ``ahead`` a chunk also has the first line of the next one.
     """
     kept = words.filter("page_id is not null and block_idx is not null and line_idx is not null and word_id is not null")
-    chunk = F.floor(F.col("line_idx") / CHUNK_LINES).cast("int").alias("chunk")
+    chunk = F.floor(F.col("line_idx") / CHUNK_LINES).cast("int")
+    if ahead:
+        chunk = F.explode(F.when((F.col("line_idx") > 0) & (F.col("line_idx") % CHUNK_LINES == 0), F.array(chunk, chunk - 1)).otherwise(F.array(chunk)))
+        kept = kept.select("page_id", "block_idx", "line_idx", "word_idx", "word_id", *(c.alias(n) for n, c in columns.items()), chunk.alias("chunk"))
+        columns = {n: F.col(n) for n in columns}
+        chunk = F.col("chunk")
+    chunk = chunk.alias("chunk")
     word = F.struct("line_idx", "word_idx", "word_id", *(c.alias(n) for n, c in columns.items()))
     return kept.groupBy("page_id", "block_idx", chunk).agg(F.collect_set(word).alias("words"))
 

@@ -11,6 +11,7 @@ from .language import detect_languages, language_cases
 from .leakage import leaked_items
 from .lookalike import consistent, learn_scripts, same_looking_labels
 from .quality import page_statistics
+from .scannoise import paragraphs, scan_noise
 from .tokenize import token_ids
 from .truncation import truncated, truncation_shares
 
@@ -42,6 +43,15 @@ def p3_statistics(spark: SparkSession, d: str) -> DataFrame:
     return page_statistics(table(spark, d, "ocr_words"))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return scan_noise(table(spark, d, "ocr_words"), table(spark, d, "ocr_pages")).select("word_id", "kind")
+
+
+def p5_paragraphs(spark: SparkSession, d: str) -> DataFrame:
+    """Blocks of pages as continuous text."""
+    return paragraphs(table(spark, d, "ocr_words"), table(spark, d, "ocr_pages"))
+
+
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return token_ids(table(spark, d, "documents"))
 
@@ -59,5 +69,5 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return truncation_shares(table(spark, d, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_forms, p2_found, p2_pages, p3_found, p3_statistics, p6_ids, p7_found, p8_found, p8_shares)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_forms, p2_found, p2_pages, p3_found, p3_statistics, p5_found, p5_paragraphs, p6_ids, p7_found, p8_found, p8_shares)}
 SQL: dict[str, str] = {}
