@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exports
+from . import documents, exports, relational
 
 FLAGSHIP = "resolve_lines"
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**exports.QUERIES}
-SQL: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**documents.QUERIES, **relational.QUERIES, **exports.QUERIES}
+SQL: dict[str, str] = {**documents.SQL, **relational.SQL}
