@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..operators.dedup import first_delivery
 from .lookalike import MEMBERS, script_of
-from .pagestream import chunk_words, coded, starts, word_tables
+from .pagestream import Lookup, chunk_words, starts, word_tables
 from .quality import WORD, bare
 
 #: Codes, three-letter codes and English names of the languages (fixed values).
@@ -132,9 +132,10 @@ def block_languages(words: DataFrame, scores: dict[str, np.ndarray]) -> DataFram
         return made
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        look_up = Lookup(lookup)
         for t in word_tables(batches):
             page, block = (t.column(c).to_numpy() for c in ("page_id", "block_idx"))
-            traits = coded(t.column("value"), lookup)
+            traits = look_up(t.column("value"))
             score = traits[:, :-1]
             at = np.flatnonzero(starts(page, block, t.column("chunk").to_numpy()))
             label = viterbi(score, at)

@@ -72,8 +72,30 @@ def starts(*columns: np.ndarray) -> np.ndarray:
     return change
 
 
-def coded(column: pa.ChunkedArray, table: Callable[[list[str | None]], np.ndarray]) -> np.ndarray:
-    """``table`` of the distinct strings, spread over the rows; a null string is ''."""
-    e = column.combine_chunks()
-    e = (e.chunk(0) if isinstance(e, pa.ChunkedArray) else e).fill_null("").dictionary_encode()
-    return table(e.dictionary.to_pylist())[e.indices.to_numpy()]
+class Lookup:
+    """A function of strings, computed once for each distinct one a task meets, and spread over columns."""
+
+    MOST = 400_000
+
+    def __init__(self, function: Callable[[list[str]], np.ndarray]):
+        self.function = function
+        self.forget()
+
+    def forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.made: np.ndarray | None = None
+
+    def __call__(self, column: pa.ChunkedArray) -> np.ndarray:
+        """Rows of the function's result; a null string is ''."""
+        e = column.combine_chunks()
+        e = (e.chunk(0) if isinstance(e, pa.ChunkedArray) else e).fill_null("").dictionary_encode()
+        names = e.dictionary.to_pylist()
+        if len(self.place) > self.MOST:
+            self.forget()
+        if new := [n for n in names if n not in self.place]:
+            made = self.function(new)
+            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
+            self.made = made if self.made is None else np.concatenate([self.made, made])
+        if self.made is None:
+            return self.function([])
+        return self.made[np.fromiter(map(self.place.__getitem__, names), np.int64, len(names))[e.indices.to_numpy()]]

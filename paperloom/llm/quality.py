@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .lookalike import visible
-from .pagestream import chunk_words, coded, edge, starts, word_tables
+from .pagestream import Lookup, chunk_words, edge, starts, word_tables
 
 BULLET = re.compile(r"(?:[-–—*•▪☐☑✓·◦‣○●■□>]|\(?(?:\d{1,3}|[a-z]|[ivx]{1,4})[.)])$", re.I)
 WORD = re.compile(r"[^\W\d_]{2}")
@@ -75,10 +75,11 @@ def block_counts(words: DataFrame, common: set[str] | None = None) -> DataFrame:
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        look_up = Lookup(traits)
         for t in word_tables(batches):
             page, block, line = (t.column(c).to_numpy() for c in ("page_id", "block_idx", "line_idx"))
             x0, x1 = (t.column(c).to_numpy() for c in ("x0", "x1"))
-            q = coded(t.column("value"), traits)
+            q = look_up(t.column("value"))
             new_block, new_line = starts(page, block, t.column("chunk").to_numpy()), starts(page, block, line)
             at = np.flatnonzero(new_block)
             last = np.append(new_line[1:], True)

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from ..operators.dedup import first_delivery
 from ..session import checkpoint
 from .lookalike import IGNORABLE, visible
-from .pagestream import CHUNK_LINES, chunk_words, coded, edge, starts, word_tables
+from .pagestream import CHUNK_LINES, Lookup, chunk_words, edge, starts, word_tables
 from .quality import WORD
 
 #: True glyphs and what they are misread as (fixed values).
@@ -80,10 +80,23 @@ class Model:
     linked: dict[str, str] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
+        self.settle()
+
+    def settle(self) -> None:
+        """Known forms without case, and what one misreading makes of the longer ones."""
         self.memo: dict[str, tuple[str, ...]] = {}
+        self.plain = {f.lower() for f in self.count if f not in self.linked}
+        self.once: set[str] = set()
+        for f in self.plain:
+            if len(f) >= 6:
+                for bad, good in UNDO:
+                    k = f.find(good.lower())
+                    while k >= 0:
+                        self.once.add(f[:k] + bad.lower() + f[k + len(good) :])
+                        k = f.find(good.lower(), k + 1)
 
     def known(self, form: str) -> bool:
-        return any(f in self.count and f not in self.linked for f in (form, form.lower(), form[:1].lower() + form[1:], form.capitalize()))
+        return form.lower() in self.plain
 
     def corrections(self, form: str) -> tuple[str, ...]:
         """Known forms that one glyph edit away, or two in a long word, most frequent first."""
@@ -91,9 +104,9 @@ class Model:
             return (self.linked[form],)
         if (done := self.memo.get(form)) is None:
             near = set(undone(form))
-            found = {f for f in near if self.known(f)}
+            found = {f for f in near if f.lower() in self.plain}
             if not found and len(form) >= 7:
-                found = {g for f in near for g in undone(f) if self.known(g)}
+                found = {g for f in near if f.lower() in self.once for g in undone(f) if g.lower() in self.plain}
             done = tuple(sorted(found, key=lambda f: (-max(self.count.get(f, 0), self.count.get(f.lower(), 0)), f)))
             if len(self.memo) > 300_000:
                 self.memo.clear()
@@ -152,8 +165,9 @@ def learn(words: DataFrame, share: float = 0.0015, shape_share: float = 0.01, ra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, int] = {}
+        look_up = Lookup(lambda vs: np.array([shared.value.get(core(v).lower(), -1) for v in vs], np.int64))
         for t in word_tables(batches, 4000):
-            c = coded(t.column("value"), lambda vs: np.array([shared.value.get(core(v).lower(), -1) for v in vs], np.int64))
+            c = look_up(t.column("value"))
             block = np.cumsum(starts(*(t.column(k).to_numpy() for k in ("page_id", "block_idx", "chunk"))))
             found = []
             for d in range(1, WINDOW + 1):
@@ -170,6 +184,7 @@ def learn(words: DataFrame, share: float = 0.0015, shape_share: float = 0.01, ra
     pairs = chunk_words(spoken, value=F.col("value")).mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).filter(F.col("n") >= 2).toArrow().sort_by("pair")
     model.pairs = pairs.column("pair").to_numpy()
     model.linked = _links(model, lower, pairs.column("n").to_numpy(), ratio)
+    model.settle()
     return model
 
 
@@ -233,11 +248,12 @@ def findings(words: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
+        look_up = Lookup(lambda vs: _traits(m, vs))
         for t in word_tables(batches):
             page, block, chunk, line, ids = (t.column(c).to_numpy() for c in ("page_id", "block_idx", "chunk", "line_idx", "word_id"))
             y0, y1 = t.column("y0").to_numpy(), t.column("y1").to_numpy()
             value = [v or "" for v in t.column("value").to_pylist()]
-            traits = coded(t.column("value"), lambda vs: _traits(m, vs))
+            traits = look_up(t.column("value"))
             own = line < (chunk + 1) * CHUNK_LINES
             out: dict[str, list] = defaultdict(list)
 
