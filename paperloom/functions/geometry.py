@@ -42,15 +42,24 @@ def polygon_area(poly: Column) -> Column:
 
 
 def ordered_points(poly: Column) -> Column:
-    """Quad as top left, top right, bottom right, bottom left: by angle about the centroid, from the least x + y."""
+    """Quad as top left, top right, bottom right, bottom left: by angle about the centroid, from the least x + y.
+
+    One fold gives the centroid and one sort the ring; the first point is found
+    by sorting the ring's places, so that nothing is worked out twice.
+    """
+    total = F.aggregate(poly, F.struct(F.lit(0.0).alias("x"), F.lit(0.0).alias("y")), lambda s, p: F.struct((s["x"] + p["x"]).alias("x"), (s["y"] + p["y"]).alias("y")))
     n = F.size(poly)
-    cx = F.aggregate(poly, F.lit(0.0), lambda s, p: s + p["x"]) / n
-    cy = F.aggregate(poly, F.lit(0.0), lambda s, p: s + p["y"]) / n
-    by_angle = F.array_sort(F.transform(poly, lambda p: F.struct(F.atan2(p["y"] - cy, p["x"] - cx).alias("a"), p["x"].alias("x"), p["y"].alias("y"))))
-    ring = F.transform(by_angle, lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y")))
-    sums = F.transform(ring, lambda p: p["x"] + p["y"])
-    k = F.array_position(sums, F.array_min(sums)).cast("int")
-    return F.concat(F.slice(ring, k, n), F.slice(ring, F.lit(1), k - 1))
+
+    def ring(c: Column) -> Column:
+        angles = F.transform(poly, lambda p: F.struct(F.atan2(p["y"] - c["y"] / n, p["x"] - c["x"] / n).alias("a"), p["x"].alias("x"), p["y"].alias("y")))
+        return F.array_sort(angles)
+
+    def turned(r: Column) -> Column:
+        first = F.array_min(F.transform(r, lambda p, i: F.struct((p["x"] + p["y"]).alias("s"), i.alias("i"))))["i"]
+        return F.transform(F.concat(F.slice(r, first + 1, n - first), F.slice(r, F.lit(1), first)), lambda p: point(p["x"], p["y"]))
+
+    let = lambda value, body: F.transform(F.array(value), body)[0]  # noqa: E731  names a value inside an expression
+    return let(total, lambda c: let(ring(c), turned))
 
 
 def rotate_point(x: Column, y: Column, angle: float) -> tuple[Column, Column]:

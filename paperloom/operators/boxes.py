@@ -110,21 +110,29 @@ def least_rectangle(points: np.ndarray) -> np.ndarray:
     return corners
 
 
-def nms(boxes: DataFrame, keys: list[str], index: str, score: str, threshold: float = 0.5) -> DataFrame:
-    """Boxes kept by greedy suppression: best score first (then the later box); kept if IoU with all kept is at most the threshold.
+def kept_boxes(boxes: np.ndarray, score: np.ndarray, index: np.ndarray, threshold: float) -> np.ndarray:
+    """Places of the boxes that greedy suppression keeps: best score first, then the later index."""
+    order = np.lexsort((-index, -score))
+    size = (boxes[:, 2] - boxes[:, 0]) * (boxes[:, 3] - boxes[:, 1])
+    out = []
+    while len(order):
+        first, rest = order[0], order[1:]
+        out.append(first)
+        gain = iou_matrix(boxes[first : first + 1], boxes[rest])[0]
+        order = rest[(gain <= threshold) & (size[first] + size[rest] > 0)]  # two empty boxes have no IoU and suppress each other
+    return np.array(out, int)
 
-    The fold runs over the boxes of a page inside the ``aggregate`` function.
-    """
-    item = F.struct((-F.col(score)).alias("s"), (-F.col(index)).alias("i"), *(F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1")))
-    lists = boxes.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("b"))
-    fields = lambda t: (t["x0"], t["y0"], t["x1"], t["y1"])
-    none = F.slice(F.col("b"), 1, 0)
 
-    def step(kept, x):
-        clash = F.exists(kept, lambda k: ~(iou(fields(k), fields(x)) <= threshold) | ((k["x1"] - k["x0"]) * (k["y1"] - k["y0"]) + (x["x1"] - x["x0"]) * (x["y1"] - x["y0"]) <= 0))
-        return F.when(clash, kept).otherwise(F.concat(kept, F.array(x)))
+def nms(boxes: DataFrame, keys: list[str], index: str, score: str, threshold: float = 0.5) -> DataFrame:
+    """Boxes of a page kept by greedy suppression: kept if the IoU with all kept before is at most the threshold."""
+    columns = ["x0", "y0", "x1", "y1"]
+
+    def page(pdf: pd.DataFrame) -> pd.DataFrame:
+        kept = kept_boxes(pdf[columns].to_numpy(float), pdf[score].to_numpy(float), pdf[index].to_numpy(), threshold)
+        return pdf.iloc[kept][[*keys, index]]
 
-    return lists.select(*keys, F.explode(F.aggregate("b", none, step)).alias("k")).select(*keys, (-F.col("k.i")).alias(index))
+    types = ", ".join(f"{k} {boxes.schema[k].dataType.simpleString()}" for k in [*keys, index])
+    return boxes.select(*keys, index, score, *columns).groupBy(*keys).applyInPandas(page, types)
 
 
 def containing_cells(words: DataFrame, cells: DataFrame, keys: list[str]) -> DataFrame:

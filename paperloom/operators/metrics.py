@@ -56,8 +56,12 @@ def best_pairs(gain: np.ndarray) -> list[tuple[int, int]]:
     r, c = np.nonzero(gain > 0)
     if not len(r):
         return []
+    alone = (np.bincount(r, minlength=gain.shape[0])[r] == 1) & (np.bincount(c, minlength=gain.shape[1])[c] == 1)
+    out = list(zip(r[alone].tolist(), c[alone].tolist()))  # no other overlap competes
+    r, c = r[~alone], c[~alone]
+    if not len(r):
+        return out
     group = components(sum(gain.shape), r, c + gain.shape[0])
-    out = []
     for g in np.unique(group[r]):
         rows, cols = np.flatnonzero(group[: gain.shape[0]] == g), np.flatnonzero(group[gain.shape[0] :] == g)
         out += [(int(rows[a]), int(cols[b])) for a, b in assignment(gain[np.ix_(rows, cols)])]

@@ -45,20 +45,37 @@ for _i, _c in enumerate(b'{[}],:"\\', 1):
 OPEN_OBJECT, OPEN_ARRAY, CLOSE_OBJECT, CLOSE_ARRAY, COMMA, COLON, QUOTE, BACKSLASH = range(1, 9)
 
 
-def unwrapped(payload: str | None) -> str | None:
+def _inside(value: object) -> Iterator[object]:
+    """What wrappers hold, level by level."""
+    level = [value]
+    while level:
+        yield from level
+        level = [v for x in level if isinstance(x, (dict, list)) for v in (x.values() if isinstance(x, dict) else x)]
+
+
+def _has_output(value: object) -> bool:
+    roots = [k for k, holder in KINDS if not holder]
+    return any(isinstance(x, dict) and any(isinstance(x.get(k), (dict, list)) for k in roots) for x in _inside(value))
+
+
+def unwrapped(payload: str | None, depth: int = 8) -> str | None:
     """The JSON text inside marks and string wrappers, None if unreadable."""
-    for _ in range(8):
-        if payload is None:
-            return None
-        payload = payload.lstrip("﻿ \t\r\n")
-        try:
-            inner = json.loads(payload)
-        except (ValueError, RecursionError):
-            return None
-        if not isinstance(inner, str):
-            return payload if isinstance(inner, (dict, list)) else None
-        payload = inner
-    return None
+    if payload is None or not depth:
+        return None
+    payload = payload.lstrip("\ufeff \t\r\n")
+    try:
+        inner = json.loads(payload)
+    except (ValueError, RecursionError):
+        return None
+    if isinstance(inner, str):
+        return unwrapped(inner, depth - 1)
+    if not isinstance(inner, (dict, list)):
+        return None
+    if not _has_output(inner):  # it may be text inside a wrapper
+        for text in _inside(inner):
+            if isinstance(text, str) and text.lstrip("\ufeff \t\r\n")[:1] in ("{", "[", '"') and (found := unwrapped(text, depth - 1)) and _has_output(json.loads(found)):
+                return found
+    return payload
 
 
 def _word(name: bytes) -> int:
