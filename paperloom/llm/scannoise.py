@@ -3,8 +3,9 @@
 Model, learnt from all words: frequent forms with their counts, and skip-gram
 vectors (positive pointwise mutual information of neighbours within two words,
 projected).  A form is linked to a far more frequent neighbour if plausible
-glyph edits lead there and the vectors agree; such a form is a misreading
-however often it occurs.  In a page, a token that is no known form is linked to
+glyph edits lead there and its contexts are the neighbour's (nearly all of
+them, or most and the vectors agree); such a form is a misreading however often
+it occurs.  In a page, a token that is no known form is linked to
 known forms by undoing glyph edits, and a capitalised one, which could be a
 name, only if the context has been seen with the correction.
 
@@ -40,6 +41,7 @@ from .quality import WORD
 GLYPHS = [
     ("e", "c"), ("o", "a"), ("l", "1"), ("o", "0"), ("O", "0"), ("t", "f"), ("i", "1"), ("I", "1"), ("s", "5"), ("S", "5"), ("g", "q"), ("h", "b"), ("z", "2"), ("Z", "2"), ("B", "8"), ("b", "6"),
     ("n", "ri"), ("m", "rn"), ("u", "ii"), ("d", "cl"), ("w", "vv"), ("i", "l"), ("g", "9"), ("п", "н"), ("и", "н"), ("з", "3"), ("a", "α"), ("σ", "6"), ("α", "8"), ("ε", "3"), ("r", "n"), ("u", "v"), ("T", "7"), ("G", "6"), ("l", "I"),
+    ("rn", "m"), ("cl", "d"), ("ii", "u"), ("vv", "w"), ("u\u0308", "ii"),
 ]
 BOTH = {("e", "c"), ("o", "a"), ("t", "f"), ("g", "q"), ("h", "b"), ("п", "н"), ("и", "н"), ("i", "l"), ("u", "v")}
 UNDO = sorted({(bad, good) for good, bad in GLYPHS} | {(a, b) for a, b in BOTH} | {(good, bad) for good, bad in GLYPHS if bad.isdigit()}, key=lambda x: (-len(x[0]), x))
@@ -134,6 +136,8 @@ class Model:
                     f = form[:k] + good + form[k + 1 :]
                     if (len(digits) >= 3 and shape(f) in self.shapes) or self.known(f):
                         return True
+        if form[0] in "0158" and len(digits) == 1 and len(letters) >= 4 and form[1:].islower() and form[1:].isalpha():
+            return True
         # a digit between the letters of a name
         return len(letters) >= 3 and len(digits) <= 2 and len(letters) + len(digits) >= len(form) - 1 and form[0].isalpha() and any(c.islower() for c in form) and all(form[k] in "015826639" for k in digits)
 
@@ -197,12 +201,19 @@ def _links(model: Model, lower: Counter[str], n: np.ndarray, ratio: float) -> di
     vector = np.zeros((size, DIMENSIONS), np.float32)
     np.add.at(vector, a, pmi[:, None].astype(np.float32) * np.random.default_rng(7).normal(size=(size, DIMENSIONS)).astype(np.float32)[b])
     vector /= np.maximum(1e-9, np.linalg.norm(vector, axis=1, keepdims=True))
+    edge_of = np.searchsorted(model.pairs, np.arange(size + 1) * size)
     linked = {}
     for f, k in model.code.items():
         if len(f) < 3:
             continue
         best = max((g for g in undone(f) if lower.get(g, 0) >= ratio * lower[f]), key=lambda g: lower[g], default=None)
-        if best is not None and float(vector[k] @ vector[model.code[best]]) >= 0.45:
+        own = slice(edge_of[k], edge_of[k + 1])
+        if best is None or not n[own].sum():
+            continue
+        wanted = model.code[best] * size + b[own]
+        at = np.minimum(np.searchsorted(model.pairs, wanted), len(model.pairs) - 1)
+        shared = n[own][model.pairs[at] == wanted].sum() / n[own].sum()
+        if shared >= 0.9 or (shared >= 0.7 and float(vector[k] @ vector[model.code[best]]) >= 0.45):
             linked[f] = best
     for f in list(model.count):
         if f.lower() in linked:
@@ -318,7 +329,7 @@ def misread(m: Model, form: str, value: list[str], i: int, new_chunk: np.ndarray
     if len(form) < 2:
         return False
     found = m.corrections(form)
-    if form in m.linked or (form[0].islower() and len(form) >= 3):
+    if form in m.linked or (form[0].islower() and len(form) >= 3) or len(form) >= 7:
         return bool(found)
     before = m.code.get(core(value[i - 1]).lower(), -1) if i and not new_chunk[i] else -1
     after = m.code.get(core(value[i + 1]).lower(), -1) if i + 1 < len(value) and not new_chunk[i + 1] else -1
