@@ -142,7 +142,7 @@ class Model:
         return len(letters) >= 3 and len(digits) <= 2 and len(letters) + len(digits) >= len(form) - 1 and form[0].isalpha() and any(c.islower() for c in form) and all(form[k] in "015826639" for k in digits)
 
 
-def learn(words: DataFrame, share: float = 0.0015, shape_share: float = 0.01, ratio: float = 12.0) -> Model:
+def learn(words: DataFrame, share: float = 0.0015, shape_share: float = 0.01, pair_share: float = 0.0001, ratio: float = 12.0) -> Model:
     """Frequent forms, shapes of numbers, skip-gram pairs and links.
 
     Kept are forms with ``share`` occurrences a page, ten thousands at most
@@ -185,7 +185,7 @@ def learn(words: DataFrame, share: float = 0.0015, shape_share: float = 0.01, ra
                 total = {}
         yield pa.RecordBatch.from_arrays([pa.array(total, pa.int64()), pa.array(total.values(), pa.int64())], ["pair", "n"])
 
-    pairs = chunk_words(spoken, value=F.col("value")).mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).filter(F.col("n") >= 2).toArrow().sort_by("pair")
+    pairs = chunk_words(spoken, value=F.col("value")).mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(2, pair_share * pages)).toArrow().sort_by("pair")
     model.pairs = pairs.column("pair").to_numpy()
     model.linked = _links(model, lower, pairs.column("n").to_numpy(), ratio)
     model.settle()
