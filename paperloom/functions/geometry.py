@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -168,3 +169,44 @@ def gaussian_radius(w: Column, h: Column, overlap: float = 0.7) -> Column:
     r2 = (2 * (h + w) - F.sqrt(4 * (h + w) * (h + w) - 16 * (1 - overlap) * w * h)) / 8
     r3 = (-2 * overlap * (h + w) + F.sqrt(4 * overlap * overlap * (h + w) * (h + w) - 16 * overlap * (overlap - 1) * w * h)) / (8 * overlap)
     return F.least(r1, r2, r3)
+
+
+def affine(x: Column, y: Column, matrix: list[list[Column]], w: Column, h: Column) -> tuple[Column, Column]:
+    """Point under a 3 x 3 matrix, clipped to the canvas and made relative to it."""
+    row = lambda r: r[0] * x + r[1] * y + r[2]
+    d = row(matrix[2])
+    return F.least(F.greatest(row(matrix[0]) / d, F.lit(0.0)), w - 1) / w, F.least(F.greatest(row(matrix[1]) / d, F.lit(0.0)), h - 1) / h
+
+
+def upright(poly: Column, angle: Column, center: Column) -> Column:
+    """Polygon turned back by a page's angle; unchanged below one degree and from 45 on."""
+    c, s = F.cos(F.radians(angle)), F.sin(F.radians(angle))
+    turned = F.transform(poly, lambda p: point((p["x"] - center["x"]) * c - (p["y"] - center["y"]) * s + center["x"], (p["x"] - center["x"]) * s + (p["y"] - center["y"]) * c + center["y"]))
+    return F.when((F.abs(angle) >= 1) & (F.abs(angle) < 45), turned).otherwise(poly)
+
+
+def oriented_box(cx: Column, cy: Column, w: Column, h: Column, sin: Column, cos: Column) -> Column:
+    """Corners of a box given by centre, size and the sine and cosine of its angle."""
+    n = F.sqrt(sin * sin + cos * cos)
+    corner = lambda a, b: point(cx + (a * w * cos - b * h * sin) / n / 2, cy + (a * w * sin + b * h * cos) / n / 2)
+    return F.array(corner(-1, -1), corner(1, -1), corner(1, 1), corner(-1, 1))
+
+
+def sigmoid(v: Column) -> Column:
+    return 1 / (1 + F.exp(-v))
+
+
+def span_from_votes(votes: list[Column], near: tuple[int, int], far: tuple[int, int], span: Column) -> tuple[Column, Column]:
+    """First and last index of a cell on one axis from its corners' votes and its span.
+
+    The pair of corners at the start decides if its rounded votes agree, then
+    the pair at the end, then the pair whose votes are closer.
+    """
+    span = F.greatest(span, F.lit(1))
+    whole: Callable[[Column], Column] = lambda v: F.greatest(F.bround(v).cast("int"), F.lit(1))
+    a, b, c, d = votes[near[0]], votes[near[1]], votes[far[0]], votes[far[1]]
+    first = F.when(whole(a) == whole(b), whole(a))
+    last = F.when(whole(c) == whole(d), F.greatest(span + 1, whole(c)) - 1)
+    by_start = F.abs(a - b) <= F.abs(c - d)
+    start = F.coalesce(first, last + 1 - span, F.when(by_start, whole((a + b) / 2)).otherwise(F.greatest(span + 1, F.bround((c + d) / 2).cast("int")) - span))
+    return start, start + span - 1

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geometry import intersection, iou
+from ..functions.geometry import intersection, sigmoid
 
 
 def box_of(t: str) -> tuple[Column, ...]:
@@ -158,3 +158,13 @@ def polygon_iou_column() -> object:
         return pd.Series([polygon_iou(np.reshape(x, (-1, 2)), np.reshape(y, (-1, 2))) for x, y in zip(a, b)])
 
     return run
+
+
+def top_queries(logits: DataFrame, keys: list[str], k: int = 300, least: float = 0.3) -> DataFrame:
+    """Best ``k`` (query, class) pairs of a page by sigmoid score, those above the threshold.
+
+    ``logits``: keys, ``query_idx``, and ``logits`` by class.
+    """
+    pairs = logits.select(*keys, "query_idx", F.posexplode("logits").alias("class_idx", "v")).withColumn("score", sigmoid(F.col("v")))
+    best = Window.partitionBy(*keys).orderBy(F.desc("v"), "query_idx", "class_idx")
+    return pairs.withColumn("_k", F.row_number().over(best)).filter((F.col("_k") <= k) & (F.col("score") > least)).drop("_k", "v")

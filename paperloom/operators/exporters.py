@@ -105,3 +105,23 @@ def page_json(words: DataFrame, keys: list[str]) -> DataFrame:
     geometry = F.array("x0", "y0", "x1", "y1").alias("geometry")
     lines = words.groupBy(*keys, "line_idx").agg(F.sort_array(F.collect_list(F.struct("word_idx", "value", geometry))).alias("words"))
     return lines.groupBy(*keys).agg(F.to_json(F.struct(F.transform(F.sort_array(F.collect_list(F.struct("line_idx", "words"))), lambda s: F.struct(s["words"].alias("words"))).alias("lines"))).alias("json"))
+
+
+def kie_text(predictions: DataFrame, keys: list[str], form: str = "text") -> DataFrame:
+    """``text`` of each page: a section for each class, its values in order.
+
+    ``predictions``: keys, ``class_idx`` and ``class_name`` in stored order, ``position``, ``value``.
+    """
+    form = format_name(form)
+    head = {"text": F.concat("class_name", F.lit(":")), "html": F.concat(F.lit("<h2>"), html_escaped(F.col("class_name")), F.lit("</h2>"))}.get(form)
+    head = rendered(F.lit("section"), F.col("class_name"), form) if head is None else head
+    value = rendered(F.lit("list"), F.col("value"), form)
+    sections = predictions.groupBy(*keys, "class_idx", "class_name").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("position", value.alias("v")))), lambda s: s["v"]), "\n").alias("values"))
+    parts = sections.select(*keys, "class_idx", F.concat(head, F.lit("\n\n"), "values").alias("part"))
+    return parts.groupBy(*keys).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("class_idx", "part"))), lambda s: s["part"]), "\n\n").alias("text"))
+
+
+def kie_lines(predictions: DataFrame, keys: list[str]) -> DataFrame:
+    """``text`` of each page: one ``class: value`` for each prediction, classes in stored order."""
+    line = F.concat_ws(": ", "class_name", "value")
+    return predictions.groupBy(*keys).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("class_idx", "position", line.alias("v")))), lambda s: s["v"]), "\n\n").alias("text"))

@@ -87,3 +87,26 @@ def test_labels_and_markup(spark):
     assert value(spark, X.markdown_escaped(F.lit("a*b_[c]"))) == r"a\*b\_\[c\]"
     assert value(spark, X.markdown_line(F.lit("1. x"))) == "\\1. x" and value(spark, X.markdown_line(F.lit("x"))) == "x"
     assert value(spark, X.html_escaped(F.lit('<a & "b">'))) == '&lt;a &amp; "b"&gt;'
+
+
+def test_affine_upright_oriented(spark):
+    m = [[F.lit(float(v)) for v in r] for r in ((1, 0, 10), (0, 1, -5), (0, 0, 1))]
+    x, y = G.affine(F.lit(20.0), F.lit(2.0), m, F.lit(100.0), F.lit(50.0))
+    assert (value(spark, x), value(spark, y)) == (0.3, 0.0)
+    square = G.box_polygon(*box(0, 0, 2, 2))
+    turned = value(spark, G.upright(square, F.lit(30.0), G.point(F.lit(1.0), F.lit(1.0))))
+    assert abs(turned[0].x - (1 - math.cos(math.radians(30)) + math.sin(math.radians(30)))) < 1e-9
+    assert [tuple(p) for p in value(spark, G.upright(square, F.lit(60.0), G.point(F.lit(1.0), F.lit(1.0))))] == [(0, 0), (2, 0), (2, 2), (0, 2)]
+    flat = [tuple(round(v, 9) for v in p) for p in value(spark, G.oriented_box(*box(1, 1, 2, 4), F.lit(1.0), F.lit(0.0)))]
+    assert sorted(flat) == [(-1, 0), (-1, 2), (3, 0), (3, 2)]
+
+
+def test_cell_votes(spark):
+    def span(v, n):
+        start, end = G.span_from_votes([F.lit(float(x)) for x in v], (0, 3), (1, 2), F.lit(n))
+        return value(spark, start), value(spark, end)
+
+    assert span((2.1, 4.0, 4.2, 1.9), 2) == (2, 3)  # the start agrees
+    assert span((1.4, 4.0, 4.2, 2.6), 2) == (2, 3)  # only the end agrees
+    assert span((1.4, 3.4, 4.6, 1.6), 1) == (2, 2)  # neither: the closer pair, halves to even
+    assert span((0.0, 9.0, 5.0, 0.2), 0) == (1, 1)

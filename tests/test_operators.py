@@ -143,3 +143,12 @@ def test_predict(spark):
     assert tuple(regroup(parts, ["crop"]).first()) == (1, "abcdef", 0.75)
     cand = spark.createDataFrame([(0, "a", 0.9), (0, "b", 0.8), (1, "c", 0.1)], "step long, char string, score double")
     assert sorted((r.step, r.char) for r in whitelisted(cand, "bc", ["step"]).collect()) == [(0, "b"), (1, "c")]
+
+
+def test_queries_and_kie(spark):
+    logits = spark.createDataFrame([(1, 0, [4.0, -4.0]), (1, 1, [0.0, 1.0])], "page long, query_idx long, logits array<double>")
+    assert sorted((r.query_idx, r.class_idx) for r in B.top_queries(logits, ["page"], 3, 0.5).collect()) == [(0, 0), (1, 1)]
+    p = spark.createDataFrame([(1, 0, "date", 1, "b"), (1, 0, "date", 0, "a"), (1, 1, "sum", 0, "9*")], "page long, class_idx long, class_name string, position long, value string")
+    assert E.kie_text(p, ["page"]).first().text == "date:\n\na\nb\n\nsum:\n\n9*"
+    assert E.kie_text(p, ["page"], "md").first().text == "## date\n\n- a\n- b\n\n## sum\n\n- 9\\*"
+    assert E.kie_lines(p, ["page"]).first().text == "date: a\n\ndate: b\n\nsum: 9*"
