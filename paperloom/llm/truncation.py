@@ -191,6 +191,10 @@ def truncation_evidence(documents: DataFrame, spike: int = 4, rare: float = 0.02
     over = lambda size, limit: F.col(limit).isNotNull() & ((F.col(size) >= F.col(limit) - 1) | ((F.col(size) >= F.col(limit) - 5) & ~F.col("ended")))
     true_size = F.when(F.col("as_chars") >= F.col("as_bytes"), F.col("chars")).otherwise(F.col("bytes"))
     ends = ends.withColumn("by_limit", over("chars", "char_limit") | over("bytes", "byte_limit")).withColumn("by_report", F.coalesce(F.col("n_chars") > true_size, F.lit(False)))
+    ends = checkpoint(ends.drop("n_chars", "chars", "bytes", "as_chars", "as_bytes", "char_limit", "byte_limit", "part"))
+
+    open_ = ends.filter(~F.col("ended") & ~F.col("by_limit") & ~F.col("by_report"))
+    asked = open_.filter((F.col("skeleton") != "") & (F.col("letters") >= 0.6))
 
     # Words of the corpus but for the final tokens; the trie's nodes below the final tokens.
     words = parts.filter("part = 'word'").groupBy(F.col("last").alias("word")).agg(F.sum("n").alias("n"), F.sum("ends").alias("ends"))
@@ -204,12 +208,11 @@ def truncation_evidence(documents: DataFrame, spike: int = 4, rare: float = 0.02
 
     # Units that stand alone: entries and labels inside texts, and frequent ends of whole texts.
     alone = parts.filter("part = 'unit'").groupBy("skeleton").agg(F.sum("n").alias("n")).filter("n >= 2")
-    closings = ends.filter(~F.col("ended") & ~F.col("by_limit") & ~F.col("by_report")).groupBy("skeleton").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= at_least(0.0005))
+    closings = open_.groupBy("skeleton").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= at_least(0.0005))
     alone = alone.union(closings).select(F.col("skeleton").alias("_alone")).distinct()
     ends = ends.join(alone, ends.skeleton == F.col("_alone"), "left")
 
     # Are the words of the unit words at all?
-    asked = ends.filter(~F.col("ended") & (F.col("skeleton") != "") & (F.col("letters") >= 0.6) & ~F.col("by_limit") & ~F.col("by_report") & (F.col("_alone").isNull() | F.col("beyond").isNotNull()))
     known = asked.select(F.col("doc_id").alias("_doc"), F.explode("words").alias("word")).join(words, "word", "left").groupBy("_doc").agg(F.avg((F.coalesce("n", F.lit(0)) >= at_least(known_share)).cast("int")).alias("known"), F.count(F.lit(1)).alias("long"))
     ends = ends.join(known, ends.doc_id == F.col("_doc"), "left").drop("_doc")
     leads = F.when(F.col("last").rlike(r"^\p{Lu}"), max(5, name_share * total)).otherwise(max(5, known_share * total))
@@ -224,7 +227,7 @@ def truncation_evidence(documents: DataFrame, spike: int = 4, rare: float = 0.02
 
 def truncated(documents: DataFrame, **parameters: float) -> DataFrame:
     """Evidence of every text, and ``cut``: whether it or an equal text is cut."""
-    rows = truncation_evidence(documents, **parameters)
+    rows = checkpoint(truncation_evidence(documents, **parameters))  # a few bytes a text, joined with itself
     any_ = F.col("by_limit") | F.col("by_report") | F.col("by_prefix") | F.col("by_unit")
     cut = rows.filter(any_).select(F.col("fingerprint").alias("_cut")).distinct()
     return rows.join(cut, rows.fingerprint == F.col("_cut"), "left").withColumn("cut", F.col("_cut").isNotNull()).drop("_cut")
