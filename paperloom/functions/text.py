@@ -47,14 +47,14 @@ def in_vocabulary(s: Column, vocab: str) -> Column:
     return F.forall(characters(s), lambda c: F.array_contains(known, c))
 
 
-def padded(codes: Column, width: int, eos: int, pad: int | None = None, sos: int | None = None) -> Column:
+def padded(codes: Column, width: int | Column, eos: int, pad: int | None = None, sos: int | None = None) -> Column:
     """Codes at a fixed width: optional start, end mark, padding; cut where too long."""
     body = F.concat(*([F.array(F.lit(sos))] if sos is not None else []), codes, F.array(F.lit(eos)))
     return F.slice(F.concat(body, F.array_repeat(F.lit(eos if pad is None else pad), width)), 1, width)
 
 
-def decoded(codes: Column, vocab: str) -> Column:
-    known = F.array(*map(F.lit, vocab))
+def decoded(codes: Column, vocab: str | Column) -> Column:
+    known = vocab if isinstance(vocab, Column) else F.array(*map(F.lit, vocab))
     return F.array_join(F.transform(codes, lambda i: F.element_at(known, i + 1)), "")
 
 
@@ -100,10 +100,11 @@ def arg_max(values: Column) -> Column:
     return F.array_position(values, F.array_max(values)).cast("int") - 1
 
 
-def ctc_decode(steps: Column, vocab: str, blank: int) -> tuple[Column, Column]:
+def ctc_decode(steps: Column, vocab: str | Column, blank: int) -> tuple[Column, Column]:
     """Best path of per-step logits: repeats collapse, then blanks go; confidence is the least step's."""
     best = F.transform(steps, arg_max)
-    kept = F.filter(best, lambda c, i: (c != blank) & ((i == 0) | (c != F.element_at(best, F.greatest(i, F.lit(1))))))
+    pairs = F.zip_with(best, F.concat(F.array(F.lit(-1)), best), lambda c, before: F.struct(c.alias("c"), before.alias("before")))
+    kept = F.transform(F.filter(pairs, lambda x: (x["c"] != blank) & (x["c"] != x["before"])), lambda x: x["c"])
     return decoded(kept, vocab), F.array_min(F.transform(steps, lambda s: F.array_max(softmax(s))))
 
 
