@@ -285,7 +285,7 @@ def table_localize_logic(spark, d):
 
 @query("SELECT count(*) AS n, (count(*) FILTER (truth = predicted))::DOUBLE / count(*) AS raw, (count(*) FILTER (lower(truth) = lower(predicted)))::DOUBLE / count(*) AS caseless FROM i WHERE regexp_full_match(truth, '[ -~]*')", WORDS, PREDICTED, PAIRS)
 def text_match(spark, d):
-    return M.text_match(matched(spark, d).filter(F.col("truth").rlike("^[ -~]*$"))).select("n", "raw", "caseless")
+    return M.text_match(matched(spark, d))
 
 
 @query("SELECT lang, source, count(*) AS n, (count(*) FILTER (truth = predicted))::DOUBLE / count(*) AS raw FROM i JOIN documents USING (doc_id) GROUP BY ROLLUP (lang, source)", WORDS, PREDICTED, PAIRS)

@@ -2,6 +2,7 @@
 
 import pytest
 
+from paperloom.functions import text as X
 from paperloom.plans import documents as D
 
 TEXT = "Straße ÉCOLE naïve книга Ελλάδα letter aabbcc abcdefghijkl ab x word Ångström été Zoë ДОМ слово λόγος bookkeeper a 12345678"
@@ -25,3 +26,17 @@ def test_padded_to_the_longest(spark, small):
     got = [list(r.codes) for r in D.encode_padded(spark, small).collect()]
     assert {len(c) for c in got} == {12 + 2} and all(c.count(62) == 1 and c[-1] == 63 for c in got)
     assert [*range(12), 62, 63] in got
+
+
+def test_text_match_scores_all_pairs(spark, small):
+    def folded(v):
+        v = v.translate(str.maketrans(X.ACCENTED, X.PLAIN))
+        for a, b in X.FOLD.items():
+            v = v.replace(a, b)
+        return v
+
+    pairs = [(r.truth, r.predicted) for r in D.matched(spark, small).collect()]
+    assert any(not t.isascii() for t, _ in pairs)
+    levels = {"raw": lambda v: v, "caseless": str.lower, "folded": folded, "unicase": lambda v: folded(v).lower()}
+    got = D.text_match(spark, small).first().asDict()
+    assert got == {"n": len(pairs)} | {k: sum(f(t) == f(p) for t, p in pairs) / len(pairs) for k, f in levels.items()}
