@@ -2,8 +2,8 @@
 
 Evidence, each gathered over the whole corpus:
 
-* length: the texts of a source pile up at its longest length, in characters or
-  in bytes; or the source reports more characters (or bytes, whichever it
+* length: the texts of a source pile up at a length, its longest or one that
+  stands out of its neighbours, in characters or in bytes; or the source reports more characters (or bytes, whichever it
   reports elsewhere) than the text has;
 * vocabulary trie: the final token is hardly ever a word of its own, but a
   proper prefix of frequent words.  The trie is a table of its nodes, the
@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint
@@ -158,15 +158,21 @@ def _parts(documents: DataFrame) -> DataFrame:
 
 def _sources(ends: DataFrame, spike: int) -> DataFrame:
     """Of each source: its limits, if it has any, and what it reports as length."""
-    lengths = ends.select("source", F.posexplode(F.array("chars", "bytes")).alias("measure", "size"), "fingerprint")
-    sizes = lengths.distinct().groupBy("source", "measure", "size").agg(F.count(F.lit(1)).alias("n"))
-    longest = sizes.groupBy("source", "measure").agg(F.max("size").alias("most")).select(F.col("source").alias("_source"), F.col("measure").alias("_measure"), "most")
-    near, wide = F.col("size") >= F.col("most") - 5, F.col("size") >= F.col("most") - 205
+    lengths = ends.select("source", F.posexplode(F.array("chars", "bytes")).alias("measure", "size"), "fingerprint", "ended")
+    sizes = lengths.distinct().groupBy("source", "measure", "size").agg(F.count(F.lit(1)).alias("n"), F.sum((~F.col("ended")).cast("long")).alias("open"))
+    whole = Window.partitionBy("source", "measure")
+    span = lambda c, low, high: F.coalesce(F.sum(c).over(whole.orderBy("size").rangeBetween(low, high)), F.lit(0))
+    sizes = sizes.select(
+        "source", "measure", "size", "n", span("n", -5, 0).alias("at"), span("open", -5, 0).alias("at_open"), span("n", -205, -6).alias("below"), span("n", 1, 200).alias("above"),
+        F.max("size").over(whole).alias("most"), F.count(F.lit(1)).over(whole).alias("tried"),
+    )
+    at, below, expected = F.col("at"), F.col("below") * 6 / 200, F.greatest(F.lit(1), "below", "above") * 6 / 200
+    # Of many lengths tried some have a few texts by chance: a bound on the tail of the Poisson distribution tells.
+    chance = at * F.log(at / expected) - at + expected > F.log(F.col("tried") * 1000)
+    inside = (at > 5 * expected) & chance & (4 * F.col("n") >= at) & (2 * F.col("at_open") > at)
     limits = (
-        sizes.join(longest, sizes.source.eqNullSafe(F.col("_source")) & (sizes.measure == F.col("_measure")))
-        .groupBy("source", "measure", "most").agg(F.sum(F.when(near, F.col("n")).otherwise(0)).alias("at"), F.sum(F.when(wide & ~near, F.col("n")).otherwise(0)).alias("below"))
-        .filter((F.col("at") >= spike) & (F.col("at") > 5 * F.col("below") * 6 / 200))
-        .groupBy(F.col("source").alias("_limited")).agg(F.max(F.when(F.col("measure") == 0, F.col("most"))).alias("char_limit"), F.max(F.when(F.col("measure") == 1, F.col("most"))).alias("byte_limit"))
+        sizes.filter((at >= spike) & (((F.col("size") == F.col("most")) & (at > 5 * below)) | inside))
+        .groupBy(F.col("source").alias("_limited")).agg(F.collect_list(F.when(F.col("measure") == 0, F.col("size"))).alias("char_limits"), F.collect_list(F.when(F.col("measure") == 1, F.col("size"))).alias("byte_limits"))
     )
     equal = lambda c: F.avg((F.col("n_chars") == F.col(c)).cast("int"))
     reports = ends.groupBy(F.col("source").alias("_source")).agg(equal("chars").alias("as_chars"), equal("bytes").alias("as_bytes"))
@@ -188,10 +194,10 @@ def truncation_evidence(documents: DataFrame, spike: int = 4, rare: float = 0.02
     at_least = lambda share: max(3, share * total)
 
     ends = ends.join(_sources(ends, spike), ends.source.eqNullSafe(F.col("_source")), "left").drop("_source")
-    over = lambda size, limit: F.col(limit).isNotNull() & ((F.col(size) >= F.col(limit) - 1) | ((F.col(size) >= F.col(limit) - 5) & ~F.col("ended")))
+    over = lambda size, limits: F.coalesce(F.exists(limits, lambda limit: (F.col(size) <= limit) & ((F.col(size) >= limit - 1) | ((F.col(size) >= limit - 5) & ~F.col("ended")))), F.lit(False))
     true_size = F.when(F.col("as_chars") >= F.col("as_bytes"), F.col("chars")).otherwise(F.col("bytes"))
-    ends = ends.withColumn("by_limit", over("chars", "char_limit") | over("bytes", "byte_limit")).withColumn("by_report", F.coalesce(F.col("n_chars") > true_size, F.lit(False)))
-    ends = checkpoint(ends.drop("n_chars", "chars", "bytes", "as_chars", "as_bytes", "char_limit", "byte_limit", "part"))
+    ends = ends.withColumn("by_limit", over("chars", "char_limits") | over("bytes", "byte_limits")).withColumn("by_report", F.coalesce(F.col("n_chars") > true_size, F.lit(False)))
+    ends = checkpoint(ends.drop("n_chars", "chars", "bytes", "as_chars", "as_bytes", "char_limits", "byte_limits", "part"))
 
     open_ = ends.filter(~F.col("ended") & ~F.col("by_limit") & ~F.col("by_report"))
     asked = open_.filter((F.col("skeleton") != "") & (F.col("letters") >= 0.6))

@@ -41,3 +41,13 @@ def test_empty_and_repeated(spark):
 
 def test_very_long(spark):
     assert found(spark, [(1, "A sentence stands here. " * 50000, "a", None, str(datetime.now()))]) == set()
+
+
+def test_limit_below_the_longest(spark):
+    texts = corpus()
+    rows = [(i, t, f"s{i % 3}", len(t), "x") for i, t in enumerate(texts)]
+    rows += [(1000 + i, (t * 9)[:500], "two", 500, "x") for i, t in enumerate(texts[:12])] + [(1100 + i, (t * 9)[:900], "two", 900, "x") for i, t in enumerate(texts[12:24])]
+    rows += [(1200, texts[30] * 4, "two", None, None)]
+    evidence = {r.doc_id: r for r in truncated(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(evidence[i].by_limit for i in [*range(1000, 1012), *range(1100, 1112)])
+    assert not any(evidence[i].by_limit for i in [*range(300), 1200])
