@@ -6,7 +6,7 @@ Evidence, each gathered over the whole corpus:
   stands out of its neighbours, in characters or in bytes; or the source reports more characters (or bytes, whichever it
   reports elsewhere) than the text has;
 * vocabulary trie: the final token is hardly ever a word of its own, but a
-  proper prefix of frequent words.  The trie is a table of its nodes, the
+  proper prefix of other words.  The trie is a table of its nodes, the
   prefixes, with the number of words that end at a node and that go on from it;
 * unfinished unit: the text ends without a sentence mark, and what follows the
   last mark is nothing that stands alone elsewhere (a title, a list entry, the
@@ -179,7 +179,7 @@ def _sources(ends: DataFrame, spike: int) -> DataFrame:
     return reports.join(limits, reports["_source"].eqNullSafe(limits["_limited"]), "left").drop("_limited")
 
 
-def truncation_evidence(documents: DataFrame, spike: int = 4, rare: float = 0.02, known_share: float = 0.001, name_share: float = 0.005) -> DataFrame:
+def truncation_evidence(documents: DataFrame, spike: int = 4, rare: float = 0.02, known_share: float = 0.001, name_share: float = 0.005, least: int = 5) -> DataFrame:
     """``doc_id, source, fingerprint, by_limit, by_report, by_prefix, by_unit`` of every text that is not blank.
 
     ``spike``: texts at the limit, at least, and five times what the lengths
@@ -204,11 +204,11 @@ def truncation_evidence(documents: DataFrame, spike: int = 4, rare: float = 0.02
 
     # Words of the corpus but for the final tokens; the trie's nodes below the final tokens.
     words = parts.filter("part = 'word'").groupBy(F.col("last").alias("word")).agg(F.sum("n").alias("n"), F.sum("ends").alias("ends"))
-    words = checkpoint(words.filter("n >= 3"))
+    words = checkpoint(words.filter("n > 0"))
     finals = ends.filter(~F.col("ended") & (F.col("last") != "")).select(F.lower("last").alias("node")).distinct()
     prefixes = words.filter("length(word) > 1").select("n", F.explode(F.expr("transform(sequence(1, length(word) - 1), i -> left(word, i))")).alias("node"))
-    trie = prefixes.groupBy("node").agg(F.sum("n").alias("beyond"), F.max("n").alias("most_beyond"))
-    nodes = finals.join(trie, "node").join(words.withColumnRenamed("word", "node"), "node", "left").select(F.col("node").alias("_node"), "beyond", "most_beyond", F.coalesce("n", F.lit(0)).alias("own"))
+    trie = prefixes.groupBy("node").agg(F.sum("n").alias("beyond"))
+    nodes = finals.join(trie, "node").join(words.withColumnRenamed("word", "node"), "node", "left").select(F.col("node").alias("_node"), "beyond", F.coalesce(F.when(F.col("n") >= 3, F.col("n")), F.lit(0)).alias("own"))
     ends = ends.join(nodes, F.lower("last") == F.col("_node"), "left").drop("_node")
     ends = ends.join(words.select(F.col("word").alias("_word"), ((F.col("ends") + 0.5) / (F.col("n") + 10)).alias("stops")), F.lower("last") == F.col("_word"), "left").drop("_word")
 
@@ -221,8 +221,9 @@ def truncation_evidence(documents: DataFrame, spike: int = 4, rare: float = 0.02
     # Are the words of the unit words at all?
     known = asked.select(F.col("doc_id").alias("_doc"), F.explode("words").alias("word")).join(words, "word", "left").groupBy("_doc").agg(F.avg((F.coalesce("n", F.lit(0)) >= at_least(known_share)).cast("int")).alias("known"), F.count(F.lit(1)).alias("long"))
     ends = ends.join(known, ends.doc_id == F.col("_doc"), "left").drop("_doc")
-    leads = F.when(F.col("last").rlike(r"^\p{Lu}"), max(5, name_share * total)).otherwise(max(5, known_share * total))
-    prefix = (F.col("own") < rare * F.col("beyond")) & (F.col("most_beyond") >= leads)
+    # A name after a closing is an ending of its own: there a prefix of a few other names tells nothing.
+    signed = F.col("last").rlike(r"^\p{Lu}") & F.col("_alone").isNotNull()
+    prefix = (F.col("own") < rare * F.col("beyond")) & (F.col("beyond") >= F.when(signed, max(least, name_share * total)).otherwise(least))
     readable = (F.col("known") >= 0.6) | ((F.col("known") >= 0.4) & (F.col("long") <= 3))
     return ends.select(
         "doc_id", "source", "fingerprint", "by_limit", "by_report",

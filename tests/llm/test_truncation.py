@@ -51,3 +51,14 @@ def test_limit_below_the_longest(spark):
     evidence = {r.doc_id: r for r in truncated(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert all(evidence[i].by_limit for i in [*range(1000, 1012), *range(1100, 1112)])
     assert not any(evidence[i].by_limit for i in [*range(300), 1200])
+
+
+def test_prefix_of_many_rare_words(spark):
+    texts = corpus()
+    rows = [(i, t, f"s{i % 3}", None, None) for i, t in enumerate(texts)]
+    rows += [(1000 + i, f"The quorbel{end} confirms the invoice before the end of the month.", "s0", None, None) for i, end in enumerate("ing ed er ist ism ness".split())]
+    rows += [(2000, "The invoice replaces the contract before the end of the month. - the month\n- the quorbel", "s1", None, None)]
+    rows += [(2001, "The invoice replaces the contract before the end of the month.\n- the month\n- the apprenti", "s1", None, None)]
+    evidence = {r.doc_id: r for r in truncated(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert evidence[2000].by_prefix and evidence[2001].by_prefix
+    assert not any(evidence[i].by_prefix for i in [*range(300), *range(1000, 1006)])
