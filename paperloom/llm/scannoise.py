@@ -1,29 +1,35 @@
 """Problem 5: noise in text from scanned pages, and the paragraphs without it.
 
-Model, learnt from all words: frequent forms with their counts, and skip-gram
-vectors (positive pointwise mutual information of neighbours within two words,
-projected).  A form is linked to a far more frequent neighbour if plausible
-glyph edits lead there and its contexts are the neighbour's (nearly all of
-them, or most and the vectors agree); such a form is a misreading however often
-it occurs.  In a page, a token that is no known form is linked to
-known forms by undoing glyph edits, and a capitalised one, which could be a
-name, only if the context has been seen with the correction.
+Skip-gram vectors are learnt from all words: pairs of neighbours within two
+words are counted over the whole corpus, and the positive pointwise mutual
+information of the pairs is factored into vectors of words and of contexts.
+Forms that are frequent in their script have vectors of their own; rare ones
+share the vectors of their kind of writing and ending, so every word is a context.
+
+A token that is no frequent form is linked to frequent ones by plausible glyph
+edits.  Of these corrections the one whose vector fits the context vectors of
+the neighbours best is taken, if it fits well enough: better, where the token
+may be a name, than the name's own kind.  Numbers are forms too, every digit
+being one.  A frequent form is linked to a far more frequent one if glyph edits
+lead there, its contexts are the other's and the vectors are near.
 
 A piece at a line's end is joined with the next line's first word: the sign
 vanishes unless the parts form a known compound, a date, a reference or a name
-of two parts.  Furniture are single-line blocks at the top and the bottom of
-pages; page numbers are told by their form, running headers by repetition in
-their scan, by style, by what follows and, last, by the layout's witness.
+of two parts.  Furniture stands in those hundredths of the page's height whose
+blocks repeat in their scans or are page numbers, learnt from all pages; page
+numbers are told by their form, running headers by repetition, by style, by what
+follows and, last, by the layout's witness.
 
 Defined results: null and empty values are no cases; words without geometry are
-placed by their block's others or by block order; junk pages give no cases.
+placed by their block's others or by block order; junk pages give no cases; a
+word divided between two blocks or pages is not joined.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -33,7 +39,7 @@ from pyspark.sql import functions as F
 
 from ..operators.dedup import first_delivery
 from ..session import checkpoint
-from .lookalike import IGNORABLE, visible
+from .lookalike import IGNORABLE, script_of, visible
 from .pagestream import CHUNK_LINES, Lookup, chunk_words, edge, starts, word_tables
 from .quality import WORD
 
@@ -41,18 +47,21 @@ from .quality import WORD
 GLYPHS = [
     ("e", "c"), ("o", "a"), ("l", "1"), ("o", "0"), ("O", "0"), ("t", "f"), ("i", "1"), ("I", "1"), ("s", "5"), ("S", "5"), ("g", "q"), ("h", "b"), ("z", "2"), ("Z", "2"), ("B", "8"), ("b", "6"),
     ("n", "ri"), ("m", "rn"), ("u", "ii"), ("d", "cl"), ("w", "vv"), ("i", "l"), ("g", "9"), ("п", "н"), ("и", "н"), ("з", "3"), ("a", "α"), ("σ", "6"), ("α", "8"), ("ε", "3"), ("r", "n"), ("u", "v"), ("T", "7"), ("G", "6"), ("l", "I"),
-    ("rn", "m"), ("cl", "d"), ("ii", "u"), ("vv", "w"), ("u\u0308", "ii"),
+    ("rn", "m"), ("cl", "d"), ("ii", "u"), ("vv", "w"), ("u\u0308", "ii"), ("e\u0301", "6"), ("б", "6"), ("ι", "1"),
 ]
 BOTH = {("e", "c"), ("o", "a"), ("t", "f"), ("g", "q"), ("h", "b"), ("п", "н"), ("и", "н"), ("i", "l"), ("u", "v")}
 UNDO = sorted({(bad, good) for good, bad in GLYPHS} | {(a, b) for a, b in BOTH} | {(good, bad) for good, bad in GLYPHS if bad.isdigit()}, key=lambda x: (-len(x[0]), x))
-DIGITS = {good: bad for good, bad in GLYPHS if bad.isdigit()}
 SIGNS = "‐‑¬=~­-"
 PAGE_WORDS = "page seite bladzijde página pagina страница стр σελίδα σελ pág pag blz p s σ c".split()
 CONNECTORS = {"of", "von", "van", "de", "di", "из", "από", "sur", "из".translate({1080: "и"})}
-EDGE = re.compile(r"^[\W_]+|[\W_]+$")
+EDGE = re.compile("^[\\W_]+|(?:(?![\u0300-\u036f])[\\W_])+$")
 NUMBER = re.compile(r"[\W_]*(?:\d{1,4}|[ivxlc]{1,6}|[IVXLC]{1,6}|\d{1,4}/\d{1,4})[\W_]*")
 DATE = re.compile(r"\d{1,4}[./-]\d{1,2}[./-]\d{1,4}")
-WINDOW, DIMENSIONS = 2, 64
+WINDOW, DIMENSIONS = 2, 96
+#: By how much a correction must fit its context better than a name would, where the token is short and capitalised; how much worse than what it looks like, where a digit is exchanged.
+NAME_LEAD, NUMBER_LAG = 0.3, 1.0
+#: Parts of a page's height that count as its top and bottom, and the share of repeated blocks that makes a hundredth of the height a place of furniture.
+OUTER, FURNITURE = 0.15, 0.3
 
 
 def core(value: str) -> str:
@@ -61,7 +70,8 @@ def core(value: str) -> str:
 
 
 def shape(form: str) -> str:
-    return re.sub(r"\d", "9", form)
+    """In lower case; the digits of numbers and references, not those inside a word, are all 9."""
+    return form.lower() if form.isalpha() or mixed(form) else re.sub(r"\d", "9", form.lower())
 
 
 def undone(form: str) -> Iterator[str]:
@@ -73,103 +83,138 @@ def undone(form: str) -> Iterator[str]:
             k = form.find(bad, k + 1)
 
 
+def form_of(value: str) -> str:
+    """A token as the vocabulary knows it: without marks and case, a number's digits all 9; '' if nothing is left."""
+    return shape(core(value))
+
+
+def bucket_of(form: str) -> str:
+    """What rare forms share: a vector for their kind of writing and ending."""
+    if any(c.isdigit() for c in form):
+        return "<9a>" if any(c.isalpha() for c in form) else "<9>"
+    scripts = {script_of(c) for c in form}
+    return f"<{'G' if 'G' in scripts else 'C' if 'C' in scripts else 'L'}{form[-1:]}>" if form else "<>"
+
+
 @dataclass
 class Model:
+    """Vocabulary with skip-gram vectors; ``count`` by form, buckets included."""
+
     count: dict[str, int]
-    shapes: set[str]
-    code: dict[str, int]
-    pairs: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    word: np.ndarray = field(default_factory=lambda: np.zeros((0, 1), np.float32))
+    context: np.ndarray = field(default_factory=lambda: np.zeros((0, 1), np.float32))
     linked: dict[str, str] = field(default_factory=dict)
+    least: float = -np.inf
 
     def __post_init__(self) -> None:
+        self.code = {f: i for i, f in enumerate(sorted(self.count))}
         self.settle()
 
     def settle(self) -> None:
-        """Known forms without case, and what one misreading makes of the longer ones."""
+        """What one misreading makes of the longer forms."""
         self.memo: dict[str, tuple[str, ...]] = {}
-        self.plain = {f.lower() for f in self.count if f not in self.linked}
         self.once: set[str] = set()
-        for f in self.plain:
-            if len(f) >= 6:
+        for f in self.count:
+            if len(f) >= 6 and f not in self.linked and f[0] != "<":
                 for bad, good in UNDO:
                     k = f.find(good.lower())
                     while k >= 0:
                         self.once.add(f[:k] + bad.lower() + f[k + len(good) :])
                         k = f.find(good.lower(), k + 1)
 
-    def known(self, form: str) -> bool:
-        return form.lower() in self.plain
-
-    def corrections(self, form: str) -> tuple[str, ...]:
-        """Known forms that one glyph edit away, or two in a long word, most frequent first."""
-        if form in self.linked:
-            return (self.linked[form],)
-        if (done := self.memo.get(form)) is None:
-            near = set(undone(form))
-            found = {f for f in near if f.lower() in self.plain}
-            if not found and len(form) >= 7:
-                found = {g for f in near if f.lower() in self.once for g in undone(f) if g.lower() in self.plain}
-            done = tuple(sorted(found, key=lambda f: (-max(self.count.get(f, 0), self.count.get(f.lower(), 0)), f)))
+    def known(self, text: str) -> bool:
+        form = shape(text)
+        return form in self.count and form not in self.linked
+
+    def code_of(self, form: str) -> int:
+        """Code of a form, or of the bucket of a rare one; -1 for no form."""
+        return self.code.get(form, self.code.get(bucket_of(form), -1)) if form else -1
+
+    def corrections(self, text: str) -> tuple[str, ...]:
+        """Known texts that one glyph edit away, or two in a long word, most frequent first."""
+        if (link := self.linked.get(shape(text))) is not None:
+            return tuple(f for f in undone(text) if shape(f) == link)[:1] or (link,)
+        if (done := self.memo.get(text)) is None:
+            near = set(undone(text))
+            found = {f for f in near if self.known(f)}
+            if not found and len(text) >= 7:
+                found = {g for f in near if shape(f) in self.once for g in undone(f) if self.known(g)}
+            if not found and mixed(text):  # a digit inside a name: the name's kind of writing is its candidate
+                found = {f for f in near if not any(c.isdigit() for c in f)}
+            even = lambda f: f[1:].islower() or f.isupper()
+            found = {f.lower(): f for f in sorted(found, key=lambda f: (even(f), f))}.values()  # a digit stands for either case
+            done = tuple(sorted(found, key=lambda f: (-self.count.get(shape(f), 0), f)))
             if len(self.memo) > 300_000:
                 self.memo.clear()
-            self.memo[form] = done
+            self.memo[text] = done
         return done
 
-    def seen(self, a: int, b: int) -> bool:
-        key = a * len(self.code) + b
-        k = np.searchsorted(self.pairs, key)
-        return bool(k < len(self.pairs) and self.pairs[k] == key)
-
-    def misread_code(self, form: str) -> bool:
-        """Digits and letters exchanged in a number, date or reference, or a digit inside a word."""
-        if not any(c.isdigit() for c in form) or shape(form) in self.shapes:
-            return False
-        letters = [k for k, c in enumerate(form) if c.isalpha()]
-        digits = [k for k, c in enumerate(form) if c.isdigit()]
-        if len(digits) >= 2:
-            for k in letters:
-                if form[k] in DIGITS and shape(form[:k] + "9" + form[k + 1 :]) in self.shapes:
-                    return True
-        for k in digits:
-            for bad, good in UNDO:
-                if form[k] == bad:
-                    f = form[:k] + good + form[k + 1 :]
-                    if (len(digits) >= 3 and shape(f) in self.shapes) or self.known(f):
-                        return True
-        if form[0] in "0158" and len(digits) == 1 and len(letters) >= 4 and form[1:].islower() and form[1:].isalpha():
-            return True
-        # a digit between the letters of a name
-        return len(letters) >= 3 and len(digits) <= 2 and len(letters) + len(digits) >= len(form) - 1 and form[0].isalpha() and any(c.islower() for c in form) and all(form[k] in "015826639" for k in digits)
-
-
-def learn(words: DataFrame, share: float = 0.0015, shape_share: float = 0.01, pair_share: float = 0.0001, ratio: float = 12.0) -> Model:
-    """Frequent forms, shapes of numbers, skip-gram pairs and links.
-
-    Kept are forms with ``share`` occurrences a page, ten thousands at most
-    whatever the corpus; counts and pairs are taken over all words.
+    def fit(self, code: int, around: np.ndarray) -> float:
+        """Mean score of a form's vector against the context vectors of its neighbours; 0 without any."""
+        return float((self.context[around] @ self.word[code]).mean()) if code >= 0 and len(around) else 0.0
+
+
+def mixed(text: str) -> bool:
+    """Letters with one or two digits among them that are misread letters."""
+    letters, digits = sum(map(str.isalpha, text)), [c for c in text if c.isdigit()]
+    return 0 < len(digits) <= 2 < letters and letters + len(digits) >= len(text) - 1 and all(c in "0125689" for c in digits)
+
+
+def _tally(batches: Iterator[pa.RecordBatch], tell: Callable[[pa.RecordBatch], Iterator[tuple[str, int]]]) -> Iterator[pa.RecordBatch]:
+    """Sums of keys, passed on whenever a task holds many."""
+    total: dict[str, int] = {}
+    out = lambda: pa.RecordBatch.from_arrays([pa.array(total, pa.string()), pa.array(total.values(), pa.int64())], ["form", "n"])
+    for b in batches:
+        for k, n in tell(b):
+            total[k] = total.get(k, 0) + n
+        if len(total) > 500_000:
+            yield out()
+            total.clear()
+    yield out()
+
+
+def learn(words: DataFrame, share: float = 0.0015, number_share: float = 0.01, pair_share: float = 0.0001, ratio: float = 12.0, rare: float = 0.01) -> Model:
+    """Vocabulary, skip-gram vectors and links.
+
+    Kept are forms with ``share`` occurrences a page of their script (numbers:
+    ``number_share`` a page), counted
+    over all words after their marks and look-alikes are gone: ten thousands at
+    most, whatever the corpus.  All other forms go into buckets, so every word
+    is a context and has a vector.  ``rare``: share of true occurrences whose
+    fit may lie below the least one.
     """
     spoken = words.filter("value is not null and value != ''")
-    pages = words.select("page_id").distinct().count()
-    least = max(3, share * pages)
-    count: Counter[str] = Counter()
-    for r in spoken.groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least).collect():
-        if (f := core(r.value)) and WORD.search(f) and not any(c.isdigit() for c in f):
-            count[f] += r.n
-    bare = F.regexp_replace(F.regexp_replace("value", r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""), r"[0-9]", "9")
-    rows = spoken.filter(F.col("value").rlike("[0-9]")).groupBy(bare.alias("shape")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= max(3, shape_share * pages)).collect()
-    lower: Counter[str] = Counter()
-    for f, n in count.items():
-        lower[f.lower()] += n
-    code = {f: i for i, f in enumerate(sorted(lower))}
-    model = Model(dict(count), {visible(r["shape"]) for r in rows}, code)
-    if not code:
-        return model
-    shared = words.sparkSession.sparkContext.broadcast(code)
-    size = len(code)
+    pages = words.agg(F.approx_count_distinct("page_id")).first()[0]
+
+    def forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def tell(b: pa.RecordBatch) -> Iterator[tuple[str, int]]:
+            for r in b.column(0).value_counts().to_pylist():
+                if f := form_of(r["values"]):
+                    yield f, r["counts"]
+
+        return _tally(batches, tell)
+
+    counted = spoken.select("value").mapInArrow(forms, "form string, n long").groupBy("form").agg(F.sum("n").alias("n"))
+    script = F.when(F.col("form").rlike("[0-9]"), "9").when(F.col("form").rlike(r"\p{IsCyrillic}"), "C").when(F.col("form").rlike(r"\p{IsGreek}"), "G").otherwise("L").alias("script")
+    counted = checkpoint(counted.select("form", "n", script))
+    sizes = {r.script: r.n for r in counted.groupBy("script").agg(F.sum("n").alias("n")).collect()}
+    total = max(1, sum(sizes.values()))
+    least = lambda s: max(3, number_share * pages if s == "9" else share * pages * sizes[s] / total)
+    keep = F.coalesce(*(F.when(F.col("script") == s, F.col("n") >= least(s)) for s in sizes), F.lit(False)) if sizes else F.lit(False)
+    count = {r.form: r.n for r in counted.filter(keep).collect()}
+    if not count:
+        return Model({})
+    buckets = counted.filter(~keep).select("form", "n").mapInArrow(lambda bs: _tally(bs, lambda b: ((bucket_of(f), n) for f, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))), "form string, n long")
+    count |= {r.form: r.n for r in buckets.groupBy("form").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(3, share * pages)).collect()}
+    model = Model(count)
+    shared = words.sparkSession.sparkContext.broadcast(model)
+    size = len(count)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, int] = {}
-        look_up = Lookup(lambda vs: np.array([shared.value.get(core(v).lower(), -1) for v in vs], np.int64))
+        m = shared.value
+        look_up = Lookup(lambda vs: np.array([m.code_of(form_of(v)) for v in vs], np.int64))
+        out = lambda: pa.RecordBatch.from_arrays([pa.array(total, pa.int64()), pa.array(total.values(), pa.int64())], ["pair", "n"])
         for t in word_tables(batches, 4000):
             c = look_up(t.column("value"))
             block = np.cumsum(starts(*(t.column(k).to_numpy() for k in ("page_id", "block_idx", "chunk"))))
@@ -181,43 +226,78 @@ def learn(words: DataFrame, share: float = 0.0015, shape_share: float = 0.01, pa
             for k, n in zip(*(x.tolist() for x in np.unique(np.concatenate(found), return_counts=True))):
                 total[k] = total.get(k, 0) + n
             if len(total) > 1_000_000:
-                yield pa.RecordBatch.from_arrays([pa.array(total, pa.int64()), pa.array(total.values(), pa.int64())], ["pair", "n"])
-                total = {}
-        yield pa.RecordBatch.from_arrays([pa.array(total, pa.int64()), pa.array(total.values(), pa.int64())], ["pair", "n"])
+                yield out()
+                total.clear()
+        yield out()
 
     pairs = chunk_words(spoken, value=F.col("value")).mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(2, pair_share * pages)).toArrow().sort_by("pair")
-    model.pairs = pairs.column("pair").to_numpy()
-    model.linked = _links(model, lower, pairs.column("n").to_numpy(), ratio)
+    pair, n = pairs.column("pair").to_numpy(), pairs.column("n").to_numpy()
+    if not len(pair):
+        return model
+    a, b = np.divmod(pair, size)
+    model.word, model.context = skip_gram_vectors(a, b, n, size)
+    model.linked = _links(model, a, b, n, ratio)
+    model.least = true_fit(model, a, b, n, rare)
     model.settle()
     return model
 
 
-def _links(model: Model, lower: Counter[str], n: np.ndarray, ratio: float) -> dict[str, str]:
-    """Forms that are misreadings of a far more frequent form in the same contexts."""
+def skip_gram_vectors(a: np.ndarray, b: np.ndarray, n: np.ndarray, size: int, dimensions: int = DIMENSIONS, rounds: int = 4) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of words and of contexts whose products are the positive pointwise mutual information of the pairs.
+
+    This is what skip-gram training with negative samples converges to.  The
+    factors come from subspace iteration on the sparse, symmetric matrix.
+    """
+    row, total = np.bincount(a, n, size), n.sum()
+    value = np.maximum(0, np.log(n * total / (row[a] * row[b]))).astype(np.float32)
+    first = np.searchsorted(a, np.arange(size))
+    filled = np.flatnonzero(np.append(first[1:], len(a)) > first)
+
+    def times(x: np.ndarray) -> np.ndarray:
+        out = np.zeros((size, x.shape[1]), np.float32)
+        for s in range(0, len(filled), 2000):
+            rows = filled[s : s + 2000]
+            low, high = first[rows[0]], np.append(first, len(a))[rows[-1] + 1]
+            out[rows] = np.add.reduceat(value[low:high, None] * x[b[low:high]], first[rows] - low, axis=0)
+        return out
+
+    k = min(dimensions, size)
+    q = np.linalg.qr(np.random.default_rng(7).normal(size=(size, k)).astype(np.float32))[0]
+    for _ in range(rounds):
+        q = np.linalg.qr(times(q))[0]
+    small = q.T @ times(q)
+    values, turn = np.linalg.eigh((small + small.T) / 2)
+    word = (q @ turn) * np.sqrt(np.abs(values))
+    return word.astype(np.float32), (word * np.sign(values)).astype(np.float32)
+
+
+def true_fit(model: Model, a: np.ndarray, b: np.ndarray, n: np.ndarray, rare: float) -> float:
+    """The fit below which only ``rare`` of the occurrences in the corpus lie."""
+    fit = np.concatenate([np.einsum("ij,ij->i", model.word[a[s : s + 100_000]], model.context[b[s : s + 100_000]]) for s in range(0, len(a), 100_000)])
+    order = np.argsort(fit)
+    return float(fit[order][np.searchsorted(np.cumsum(n[order]), rare * n.sum())])
+
+
+def _links(model: Model, a: np.ndarray, b: np.ndarray, n: np.ndarray, ratio: float) -> dict[str, str]:
+    """Vocabulary forms that are misreadings of a far more frequent form: its contexts are theirs, and its vector near."""
     size = len(model.code)
-    a, b = np.divmod(model.pairs, size)
-    row, total = np.bincount(a, n, size), max(1, n.sum())
-    pmi = np.maximum(0, np.log(n * total / (row[a] * row[b])))
-    vector = np.zeros((size, DIMENSIONS), np.float32)
-    np.add.at(vector, a, pmi[:, None].astype(np.float32) * np.random.default_rng(7).normal(size=(size, DIMENSIONS)).astype(np.float32)[b])
-    vector /= np.maximum(1e-9, np.linalg.norm(vector, axis=1, keepdims=True))
-    edge_of = np.searchsorted(model.pairs, np.arange(size + 1) * size)
+    pairs = a * size + b
+    length = np.linalg.norm(model.word, axis=1) + 1e-9
+    edge_of = np.searchsorted(a, np.arange(size + 1))
     linked = {}
     for f, k in model.code.items():
-        if len(f) < 3:
+        if len(f) < 3 or f[0] == "<":
             continue
-        best = max((g for g in undone(f) if lower.get(g, 0) >= ratio * lower[f]), key=lambda g: lower[g], default=None)
+        best = max((g for g in map(str.lower, undone(f)) if model.count.get(g, 0) >= ratio * model.count[f]), key=lambda g: model.count[g], default=None)
         own = slice(edge_of[k], edge_of[k + 1])
         if best is None or not n[own].sum():
             continue
         wanted = model.code[best] * size + b[own]
-        at = np.minimum(np.searchsorted(model.pairs, wanted), len(model.pairs) - 1)
-        shared = n[own][model.pairs[at] == wanted].sum() / n[own].sum()
-        if shared >= 0.9 or (shared >= 0.7 and float(vector[k] @ vector[model.code[best]]) >= 0.45):
+        at = np.minimum(np.searchsorted(pairs, wanted), len(pairs) - 1)
+        shared = n[own][pairs[at] == wanted].sum() / n[own].sum()
+        near = float(model.word[k] @ model.word[model.code[best]]) / length[k] / length[model.code[best]]
+        if (shared >= 0.9 and near >= 0.1) or (shared >= 0.7 and near >= 0.45):
             linked[f] = best
-    for f in list(model.count):
-        if f.lower() in linked:
-            linked.setdefault(f, linked[f.lower()])
     return linked
 
 
@@ -278,13 +358,14 @@ def findings(words: DataFrame, model: Model) -> DataFrame:
             for s, e in zip(at.tolist(), [*at[1:].tolist(), len(page)]):
                 mine = own[s:e]
                 tell("count", s, [], known=float(traits[s:e, 0][mine].sum()), size=float(traits[s:e, 1][mine].sum()))
-                if e - s <= 16 and chunk[s] == 0 and line[e - 1] == line[s]:
+                if chunk[s] == 0 and line[e - 1] < CHUNK_LINES:
                     top = float(np.nanmin(y0[s:e])) if np.isfinite(y0[s:e]).any() else None
                     bottom = float(np.nanmax(y1[s:e])) if np.isfinite(y1[s:e]).any() else None
-                    if block[s] <= 1 or top is None or top >= 0.9:
-                        part = page_number_part(value[s:e])
+                    if top is None or bottom is None or bottom <= OUTER or top >= 1 - OUTER:
+                        cuts = [s, *(np.flatnonzero(new_line[s + 1 : e]) + s + 1).tolist(), e]
+                        part = [x for i, j in zip(cuts, cuts[1:]) for x in page_number_part(value[i:j])]
                         rest = " ".join(v for v, n in zip(value[s:e], part) if not n)
-                        tell("line", s, ids[s:e].tolist(), rest, [int(i) for i, n in zip(ids[s:e], part) if n], top, bottom)
+                        tell("line", s, ids[s:e].tolist(), rest, [int(i) for i, n in zip(ids[s:e], part) if n], top, bottom, known=float(len(cuts) - 1))
             # Pieces at line ends.
             pieces = np.zeros(len(page), bool)
             ends = np.flatnonzero(np.append(new_line[1:], True) & own)
@@ -299,11 +380,14 @@ def findings(words: DataFrame, model: Model) -> DataFrame:
                         tell("misread", i, [int(ids[i if bad == 0 else j])])
                 else:
                     pieces[i] = True
-            # Misread words.
+            # Misread words: the correction that fits the context best.
+            code, of = traits[:, 4].astype(np.int64), np.cumsum(new_chunk)
             for i in np.flatnonzero((traits[:, 3] > 0) & own & ~pieces).tolist():
-                form = core(value[i])
-                if traits[i, 3] == 2 or misread(m, form, value, i, new_chunk):
-                    tell("misread", i, [int(ids[i])], corrected(m, value[i], form))
+                low, high = max(0, i - WINDOW), min(len(page), i + WINDOW + 1)
+                near = (of[low:high] == of[i]) & (code[low:high] >= 0)
+                near[i - low] = False
+                if (found := corrected(m, core(value[i]), code[low:high][near])) is not None:
+                    tell("misread", i, [int(ids[i])], visible(value[i]).replace(core(value[i]), found, 1))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in target], schema=target)
 
@@ -311,41 +395,32 @@ def findings(words: DataFrame, model: Model) -> DataFrame:
 
 
 def _traits(m: Model, values: list[str]) -> np.ndarray:
-    """Known (0/1), weight, ends with a division sign, 1 unknown or 2 surely misread."""
-    out = np.zeros((len(values), 4), np.float32)
+    """Known (0/1), weight, ends with a division sign, has corrections, code."""
+    out = np.zeros((len(values), 5), np.float32)
     for k, v in enumerate(values):
         form = core(v)
         known = bool(form) and m.known(form)
         tail = "".join(c for c in v.rstrip() if c in SIGNS or (ord(c) not in IGNORABLE and c.isprintable()))
-        odd = 0
-        if form and not known:
-            odd = 2 if m.misread_code(form) else 1 if m.corrections(form) else 0
-        out[k] = known, 1.0 if WORD.search(v) else 0.3, len(tail) > 1 and tail[-1] in SIGNS and bool(form), odd
+        odd = len(form) > 1 and not known and bool(m.corrections(form))
+        out[k] = known and not any(c.isdigit() for c in form), 1.0 if WORD.search(v) else 0.3, len(tail) > 1 and tail[-1] in SIGNS and bool(form), odd, m.code_of(form_of(v))
     return out
 
 
-def misread(m: Model, form: str, value: list[str], i: int, new_chunk: np.ndarray) -> bool:
-    """Is an unknown form that glyph edits link to known ones misread here?"""
-    if len(form) < 2:
-        return False
-    found = m.corrections(form)
-    if form in m.linked or (form[0].islower() and len(form) >= 3) or len(form) >= 7:
-        return bool(found)
-    before = m.code.get(core(value[i - 1]).lower(), -1) if i and not new_chunk[i] else -1
-    after = m.code.get(core(value[i + 1]).lower(), -1) if i + 1 < len(value) and not new_chunk[i + 1] else -1
-    for f in found:
-        if (c := m.code.get(f.lower(), -1)) >= 0 and ((before >= 0 and m.seen(before, c)) + (after >= 0 and m.seen(after, c)) >= (before >= 0) + (after >= 0) > 0):
-            return True
-    return False
+def corrected(m: Model, form: str, around: np.ndarray) -> str | None:
+    """What an unknown form should be here, None if it is likelier what it looks like.
 
-
-def corrected(m: Model, value: str, form: str) -> str:
-    """The value with its form corrected; unchanged where only the place of the error is known."""
-    found = m.corrections(form)
-    if not found and any(c.isdigit() for c in form):
-        options = [form[:k] + good + form[k + len(bad) :] for bad, good in UNDO for k in range(len(form)) if form.startswith(bad, k)]
-        found = tuple(f for f in options if shape(f) in m.shapes or not any(c.isdigit() for c in f))
-    return visible(value).replace(form, found[0], 1) if found else value
+    Of the corrections, all plausible glyph edits, the one whose vector fits the
+    context vectors of the neighbours best is taken.
+    """
+    fit, best = max(((m.fit(m.code_of(shape(f)), around), f) for f in m.corrections(form)), key=lambda x: x[0])
+    own = lambda: m.fit(m.code.get(bucket_of(shape(form)), -1), around)
+    if any(c.isdigit() for c in form):
+        return best if len(form) >= 3 and fit >= own() - NUMBER_LAG else None
+    if any(c.isdigit() for c in best):
+        return best if sum(map(str.isdigit, best)) > 2 and fit >= own() - NUMBER_LAG else None
+    if form[0].islower() or len(form) >= 7 or shape(form) in m.linked:
+        return best if (fit >= m.least or not len(around)) and len(form) >= 3 else None
+    return best if fit >= max(0.0, own() + NAME_LEAD) else None
 
 
 def divided(m: Model, first: str, second: str) -> tuple[bool, int | None]:
@@ -358,7 +433,7 @@ def divided(m: Model, first: str, second: str) -> tuple[bool, int | None]:
     if sign in "-‐‑" and "(" in first and ")" in second and a[0].islower() == b[0].islower():
         return m.known(whole), None
     if sign in "-‐‑":
-        if held in m.count or held.lower() in m.count or b[0].isupper() and not a.isupper() or b[0].isdigit() or any(c.isdigit() for c in a):
+        if shape(held) in m.count or b[0].isupper() and not a.isupper() or b[0].isdigit() or any(c.isdigit() for c in a):
             return False, None
         if m.known(whole):
             return True, None
@@ -370,7 +445,7 @@ def divided(m: Model, first: str, second: str) -> tuple[bool, int | None]:
         same = next((k for k, (x, y) in enumerate(zip(whole, f)) if x != y), min(len(whole), len(f)))
         return True, 0 if same < len(a) else 1
     for k, piece in enumerate((a, b)):
-        if m.misread_code(piece):
+        if any(c.isdigit() for c in piece) and not m.known(piece) and (mixed(piece) or m.corrections(piece)):
             return True, k
     return True, None
 
@@ -380,21 +455,27 @@ def scan_noise(words: DataFrame, pages: DataFrame, model: Model | None = None) -
     told = checkpoint(findings(words, learn(words) if model is None else model))
     junk = told.filter("what = 'count'").groupBy("page_id").agg(F.sum("known").alias("known"), F.sum("size").alias("size")).filter("known < 0.3 * size").select("page_id")
     page = first_delivery(pages.select("page_id", "scan_id", "page_idx", F.transform("layout", lambda r: F.struct(r["type"].alias("type"), edge(r["geometry"], 1, False).alias("y0"))).alias("regions"), "received_at"), "page_id", ["scan_id", "page_idx", "regions"], "received_at")
-    page = page.select("page_id", F.coalesce("scan_id", -F.col("page_id")).alias("scan_id"), F.coalesce("page_idx", F.lit(1)).alias("page_idx"), F.get(F.filter("regions", lambda r: r["y0"] < 0.068), F.lit(0))["type"].alias("type"))
-    lines = told.filter("what = 'line'").join(junk, "page_id", "left_anti").join(page, "page_id", "left")
-    bottom = lines.filter((F.col("y0") >= 0.9) | (F.col("y0").isNull() & (F.col("block_idx") > 1)))
-    at_top = F.col("y1").isNull() | (F.col("y1") < 0.09)
+    page = page.select("page_id", F.coalesce("scan_id", -F.col("page_id")).alias("scan_id"), F.coalesce("page_idx", F.lit(1)).alias("page_idx"), "regions")
     key = F.lower(F.regexp_replace("line", r"[^\p{L}\p{N}]+", ""))
-    top = lines.filter((F.col("block_idx") == 0) & at_top & (F.col("y0").isNull() | (F.col("y0") < 0.5))).withColumn("key", key)
-    repeated = top.filter("key != ''").groupBy("scan_id", "key").agg(F.count(F.lit(1)).alias("times"))
-    following = lines.filter("block_idx = 1 and y0 < 0.11").select("page_id", F.col("line").alias("next"))
-    top = top.join(repeated, ["scan_id", "key"], "left").join(following, "page_id", "left")
+    lines = told.filter("what = 'line'").join(junk, "page_id", "left_anti").join(page, "page_id", "left").withColumn("key", key).withColumn("band", F.floor(F.col("y0") * 100))
+    near = lambda r: F.abs(r["y0"] - F.col("y0")) < 0.02
+    lines = lines.withColumn("type", F.get(F.filter("regions", near), F.lit(0))["type"]).drop("regions")
+    repeated = lines.filter("key != ''").groupBy("scan_id", "key").agg(F.count(F.lit(1)).alias("times"))
+    lines = checkpoint(lines.join(repeated, ["scan_id", "key"], "left"))
+    # Where furniture stands: hundredths of the height whose blocks repeat in their scan or are page numbers.
+    places = lines.groupBy("band").agg(F.avg(((F.coalesce("times", F.lit(1)) > 1) | ((F.col("line") == "") & (F.size("number_ids") > 0))).cast("int")).alias("rate")).filter((F.col("rate") >= FURNITURE) & F.col("band").isNotNull())
+    placed = lines.join(F.broadcast(places), "band", "left").withColumn("furnished", F.col("rate").isNotNull())  # at most 100 rows
+    bottom = placed.filter((F.col("furnished") & (F.col("y0") >= 0.5)) | (F.col("y0").isNull() & (F.col("block_idx") > 1)))
+    top = placed.filter((F.col("furnished") & (F.col("y0") < 0.5)) | (F.col("y0").isNull() & (F.col("block_idx") == 0)))
+    following = lines.filter("known = 1 and y0 < 0.5").select("page_id", (F.col("block_idx") - 1).alias("block_idx"), F.col("line").alias("next"))
+    top = top.join(following, ["page_id", "block_idx"], "left")
     sentence, section = F.col("line").rlike(r"[.!?]\s*$"), F.col("line").rlike(r"^\s*\d+[.,]\d+\s|^\s*(?:[-–*•▪☐]|\(?\w{1,2}[.)])\s")
     again, numbered = F.coalesce("times", F.lit(1)) > 1, F.size("number_ids") > 0
     styled = F.col("line").rlike(r"\s[–-]\s|\d[./-]\d") | (F.upper("line") == F.col("line"))
     title_next = F.col("next").isNotNull() & ~F.col("next").rlike(r"[.!?]\s*$|^\s*\d+[.,]\d+\s|^\s*(?:[-–*•▪☐]|\(?\w{1,2}[.)])\s")
     first_page = numbered | styled | title_next | (F.col("type") == "Page-header") | (again & F.col("type").isNull())
-    running = F.when(F.col("line") == "", F.lit(True)).when(again & (F.col("page_idx") > 0), F.lit(True)).when(sentence | section, F.lit(False)).when(F.col("page_idx") > 0, F.lit(True)).otherwise(F.coalesce(first_page, F.lit(False)))
+    single = F.col("known") == 1
+    running = F.when(F.col("line") == "", F.lit(True)).when(again & (F.col("page_idx") > 0), F.lit(True)).when(sentence | section | ~single, F.lit(False)).when(F.col("page_idx") > 0, F.lit(True)).otherwise(F.coalesce(first_page, F.lit(False)))
     furniture = top.filter(running).select("word_ids", "number_ids").union(bottom.select("word_ids", "number_ids"))
     outer = furniture.select(F.explode(F.transform("word_ids", lambda w: F.struct(w.alias("word_id"), F.when(F.array_contains("number_ids", w), "page_number").otherwise("header").alias("kind")))).alias("f")).select("f.word_id", "f.kind", F.lit(None).cast("string").alias("fixed"))
     inner = told.filter("what in ('hyphen', 'misread')").join(junk, "page_id", "left_anti").select(F.explode("word_ids").alias("word_id"), F.col("what").alias("kind"), F.when(F.col("what") == "misread", F.col("line")).alias("fixed"))

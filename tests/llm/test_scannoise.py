@@ -3,7 +3,7 @@
 import random
 from datetime import datetime
 
-from paperloom.llm.scannoise import GLYPHS, Model, core, divided, page_number_part, paragraphs, scan_noise, undone
+from paperloom.llm.scannoise import GLYPHS, Model, core, divided, form_of, page_number_part, paragraphs, scan_noise, skip_gram_vectors, undone
 
 T = datetime(2024, 1, 1)
 WORDS = "word_id long, page_id long, block_idx int, line_idx int, word_idx int, value string, geometry array<double>, confidence double, scan_id string"
@@ -65,9 +65,45 @@ def test_rules():
     assert page_number_part("Kos Val – 3 –".split()) == [False, False, True, True, True]
     assert page_number_part("1 | 4".split()) == [True] * 3 and page_number_part(["[3]"]) == [True] and page_number_part(["ii"]) == [True]
     assert not any(page_number_part("Firm · Nr. A33711".split())) and not any(page_number_part(["1.", "the"]))
-    m = Model({"month": 90, "follow": 9, "up": 9, "follow-up": 5, "mention": 50}, {"9999-99-99", "TR999999"}, {})
+    m = Model({"month": 90, "follow": 9, "up": 9, "follow-up": 5, "mention": 50, "9999-99-99": 40, "tr999999": 30})
     assert "month" in set(undone("rnonth")) and m.corrections("rnonth") == ("month",)
-    assert m.misread_code("202S-03-14") and m.misread_code("TR1O2345") and not m.misread_code("2025-03-14") and m.misread_code("L0elwa")
+    assert m.corrections("202S-03-14") == ("2025-03-14",) and "TR102345" in m.corrections("TR1O2345") and m.known("2025-03-14") and "Loelwa" in m.corrections("L0elwa")
+    assert form_of("«N0te,") == "n0te" and form_of("(2025-03-14)") == "9999-99-99" and core("verä-") == "vera\u0308"
     assert divided(m, "men-", "tion,") == (True, None) and divided(m, "follow-", "up") == (False, None) and divided(m, "(2025-", "03-14)")[0] is False
     assert divided(m, "Ko~", "lo")[0] and divided(m, "Ko-", "Lo")[0] is False and divided(m, "rnon-", "th") == (True, 0)
     assert core("  «Ｗоrd», ") == "Word"
+
+
+def test_vectors_and_context():
+    """Vectors give back the mutual information of the pairs, and the context decides between two corrections."""
+    import numpy as np
+
+    from paperloom.llm.scannoise import corrected
+
+    count = {f: 50 for f in ("boat", "goat", "sails", "eats", "sea", "grass")}
+    m = Model(count)
+    heard = [("boat", "sails"), ("boat", "sea"), ("goat", "eats"), ("goat", "grass")]
+    a, b, n = zip(*sorted((m.code[x], m.code[y], 20) for p in heard for x, y in (p, p[::-1])))
+    m.word, m.context = skip_gram_vectors(np.array(a), np.array(b), np.array(n), len(m.code))
+    assert abs(float(m.word[m.code["boat"]] @ m.context[m.code["sea"]]) - np.log(4)) < 0.01
+    near = lambda *ws: np.array([m.code[w] for w in ws])
+    m.memo["qoat"] = ("goat", "boat")
+    assert corrected(m, "qoat", near("sails", "sea")) == "boat" and corrected(m, "qoat", near("eats")) == "goat"
+
+
+def test_paragraphs_exactly(spark):
+    """The text of every block, word for word."""
+    words, pages, want = build()
+    w, p = spark.createDataFrame(words, WORDS), spark.createDataFrame(pages, PAGES)
+    kinds = dict(want)
+    expected = {}
+    right = {bad: w_ for w_ in VOCABULARY for good, bad_ in GLYPHS for k in range(len(w_)) if w_.startswith(good, k) for bad in [w_[:k] + bad_ + w_[k + len(good) :]]}
+    for i, (_, page, b, line, k, v, *_rest) in enumerate(words, 1):
+        kind = kinds.get(i)
+        if v is None or kind in ("header", "page_number"):
+            continue
+        v = v[:-1] if kind == "hyphen" else right[v] + " " if kind == "misread" else v + " "
+        expected[page, b] = expected.get((page, b), "") + v
+    got = {(r.page_id, r.block_idx): r.text for r in paragraphs(w, p).collect()}
+    assert [(g, e) for k, t in expected.items() for g, e in zip(got.get(k, "").split(" "), t.rstrip().split(" ")) if g != e] == []
+    assert got == {k: v.rstrip() for k, v in expected.items()}
