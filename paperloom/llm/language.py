@@ -137,7 +137,7 @@ def block_languages(words: DataFrame, scores: dict[str, np.ndarray]) -> DataFram
             page, block = (t.column(c).to_numpy() for c in ("page_id", "block_idx"))
             traits = look_up(t.column("value"))
             score = traits[:, :-1]
-            at = np.flatnonzero(starts(page, block, t.column("chunk").to_numpy()))
+            at = np.flatnonzero(starts(page, block, t.column("chunk").to_numpy(), t.column("part").to_numpy()))
             label = viterbi(score, at)
             known = np.abs(score).sum(axis=1) > 0
             n = np.zeros((len(page), len(LANGUAGES)), np.int64)

@@ -1,8 +1,9 @@
 """Words of pages, delivered once, in blocks that fit a task.
 
-The pages of a corpus are cut into chunks of lines of one block.  Chunks, not
-pages, are spread over the tasks, so a page of any length is many small groups,
-and the partial results of its chunks are merged afterwards.
+The pages of a corpus are cut into chunks of lines of one block, and long lines
+into parts.  Chunks, not pages, are spread over the tasks, so a page of any
+length, even one that is a single line, is many small groups, and the partial
+results of its chunks are merged afterwards.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CHUNK_LINES = 32
+#: Words of a line kept together.
+PART_WORDS = 512
 
 
 def edge(geometry: Column, axis: int, far: bool) -> Column:
@@ -24,10 +27,10 @@ def edge(geometry: Column, axis: int, far: bool) -> Column:
 
 
 def chunk_words(words: DataFrame, ahead: bool = False, **columns: Column) -> DataFrame:
-    """``page_id, block_idx, chunk`` and ``words``: keys and columns of each word, once.
+    """``page_id, block_idx, chunk, part`` and ``words``: keys and columns of each word, once.
 
     Equal deliveries are combined before the shuffle, and a chunk has at most
-    CHUNK_LINES lines.  Rows without a page, block, line or id are left out.
+    CHUNK_LINES lines of PART_WORDS words (word_idx tells the part).  Rows without a page, block, line or id are left out.
     With ``ahead`` a chunk also has the first line of the next one.
     """
     kept = words.filter("page_id is not null and block_idx is not null and line_idx is not null and word_id is not null")
@@ -39,7 +42,8 @@ def chunk_words(words: DataFrame, ahead: bool = False, **columns: Column) -> Dat
         chunk = F.col("chunk")
     chunk = chunk.alias("chunk")
     word = F.struct("line_idx", "word_idx", "word_id", *(c.alias(n) for n, c in columns.items()))
-    return kept.groupBy("page_id", "block_idx", chunk).agg(F.collect_set(word).alias("words"))
+    part = F.floor(F.coalesce("word_idx", F.lit(0)) / PART_WORDS).cast("int").alias("part")
+    return kept.groupBy("page_id", "block_idx", chunk, part).agg(F.collect_set(word).alias("words"))
 
 
 def word_tables(batches: Iterator[pa.RecordBatch], rows: int = 1500) -> Iterator[pa.Table]:
@@ -47,7 +51,7 @@ def word_tables(batches: Iterator[pa.RecordBatch], rows: int = 1500) -> Iterator
     for b in batches:
         for s in range(0, b.num_rows, rows):
             part = b.slice(s, rows)
-            lists = part.column(3)
+            lists = part.column(4)
             ends = lists.offsets.to_numpy()
             of = np.repeat(np.arange(part.num_rows), np.diff(ends))
             flat = lists.flatten()
@@ -57,7 +61,7 @@ def word_tables(batches: Iterator[pa.RecordBatch], rows: int = 1500) -> Iterator
             fresh = starts(of[order], line[order], ids[order])
             order = order[fresh]
             take = pa.array(order)
-            keys = {c: part.column(i).take(pa.array(of[order])) for i, c in enumerate(("page_id", "block_idx", "chunk"))}
+            keys = {c: part.column(i).take(pa.array(of[order])) for i, c in enumerate(("page_id", "block_idx", "chunk", "part"))}
             yield pa.table(keys | {c: v.take(take) for c, v in fields.items()})
 
 

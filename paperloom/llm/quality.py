@@ -1,11 +1,13 @@
 """Problem 3: text quality statistics of pages.
 
-A page is counted in chunks of lines.  A chunk yields counts that add up, and
-the state at its ends: the edges of its first and last line.  A line is never
-divided between chunks, and a task has whole chunks, so the gap between
-neighbouring words and the mark at a line's end are seen whole.  Counts of
-chunks are summed to blocks and those to pages by Spark's partial and final
-aggregates, then ratios and rules follow.
+A page is counted in chunks: some lines of a block, and of long lines a part.  A
+chunk yields counts that add up and, for lines that may be cut, the state at its
+ends: place and mark of the first and the last word.  A chunk takes every line
+it sees for a whole one; where the parts of a line meet, the states of the
+neighbours correct that: one line less, no line's start or end there, and the
+gap between the two words.  Corrections are sums too, so chunks merge to blocks
+and blocks to pages by Spark's partial and final aggregates, in a tree; ratios
+and rules follow.
 
 Blocks are told apart by rules on their ratios: a table has wide gaps between
 the words of its lines; a list has lines that begin with a bullet or, without
@@ -15,7 +17,8 @@ in blocks that are not prose, or junk when hardly any of its words is known.
 
 Defined results: a null value is an empty word, which counts as a word without
 letters; null confidence and objectness are left out of their means; a page
-without any word has no row.
+without any word has no row; where a line of over 512 words lacks all words from
+the 65th to the 512th, what follows is a line of its own.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .lookalike import visible
-from .pagestream import Lookup, chunk_words, edge, starts, word_tables
+from .pagestream import PART_WORDS, Lookup, chunk_words, edge, starts, word_tables
 
 BULLET = re.compile(r"(?:[-–—*•▪☐☑✓·◦‣○●■□>]|\(?(?:\d{1,3}|[a-z]|[ivx]{1,4})[.)])$", re.I)
 WORD = re.compile(r"[^\W\d_]{2}")
@@ -38,6 +41,10 @@ NOT_LETTERS = re.compile(r"[\W\d_]+")
 WIDE_GAP = 0.02
 COUNTS = ["n_words", "n_chars", "n_letters", "n_digits", "n_symbols", "n_common", "n_wide", "n_gaps", "n_lines", "n_stops", "n_bullets", "n_small", "n_head_small", "n_confidence", "n_objectness"]
 SUMS = ["sum_confidence", "sum_objectness"]
+#: The state of a line's part: its place, and of its ends the places, marks and kinds.
+STATE = "line_idx int, part int, x0 float, x1 float, stop boolean, bullet boolean, small boolean, head_small boolean"
+#: Words from which a line's first part tells its state.
+LONG = PART_WORDS // 8
 STOPS = tuple(".!?;:…。．！？")
 
 
@@ -80,7 +87,9 @@ def block_counts(words: DataFrame, common: set[str] | None = None) -> DataFrame:
             page, block, line = (t.column(c).to_numpy() for c in ("page_id", "block_idx", "line_idx"))
             x0, x1 = (t.column(c).to_numpy() for c in ("x0", "x1"))
             q = look_up(t.column("value"))
-            new_block, new_line = starts(page, block, t.column("chunk").to_numpy()), starts(page, block, line)
+            part = t.column("part").to_numpy()
+            new_block = starts(page, block, t.column("chunk").to_numpy(), part)
+            new_line = new_block | starts(line)
             at = np.flatnonzero(new_block)
             last = np.append(new_line[1:], True)
             head = new_line & (line == 0)
@@ -98,11 +107,34 @@ def block_counts(words: DataFrame, common: set[str] | None = None) -> DataFrame:
                 total(new_line & (q[:, 7] > 0)), total(head & (q[:, 7] > 0)), total(np.isfinite(conf)), total(np.isfinite(obj)),
                 np.add.reduceat(np.nan_to_num(conf), at), np.add.reduceat(np.nan_to_num(obj), at),
             ]
-            yield pa.RecordBatch.from_arrays([pa.array(page[at]), pa.array(block[at].astype(np.int32)), *map(pa.array, counts)], ["page_id", "block_idx", *COUNTS, *SUMS])
-
-    schema = f"page_id {words.schema['page_id'].dataType.simpleString()}, block_idx int" + "".join(f", {c} long" for c in COUNTS) + "".join(f", {c} double" for c in SUMS)
+            long = np.flatnonzero(new_line & ((part > 0) | (np.diff(np.append(np.flatnonzero(new_line), len(page)))[np.cumsum(new_line) - 1] >= LONG)))
+            states, offsets = None, np.zeros(len(at) + 1, np.int32)
+            end = np.append(np.flatnonzero(new_line)[1:], len(page))[np.cumsum(new_line)[long] - 1] - 1
+            place = lambda x, i: pa.array(np.where(np.isfinite(x[i]), x[i], 0).astype(np.float32), mask=~np.isfinite(x[i]))
+            columns = [pa.array(line[long].astype(np.int32)), pa.array(part[long].astype(np.int32)), place(x0, long), place(x1, end), *(pa.array(c > 0) for c in (q[end, 5], q[long, 6], q[long, 7], q[long, 7] * (line[long] == 0)))]
+            offsets[1:] = np.cumsum(np.bincount(np.searchsorted(at, long, side="right") - 1, minlength=len(at)))
+            states = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(columns, [f.split()[0] for f in STATE.split(", ")]))
+            yield pa.RecordBatch.from_arrays([pa.array(page[at]), pa.array(block[at].astype(np.int32)), *map(pa.array, counts), states], ["page_id", "block_idx", *COUNTS, *SUMS, "states"])
+
+    state = ", ".join(f"{f.split()[0]}: {f.split()[1]}" for f in STATE.split(", "))
+    schema = f"page_id {words.schema['page_id'].dataType.simpleString()}, block_idx int" + "".join(f", {c} long" for c in COUNTS) + "".join(f", {c} double" for c in SUMS) + f", states array<struct<{state}>>"
     chunks = rows.mapInArrow(run, schema)
-    return chunks.groupBy("page_id", "block_idx").agg(*(F.sum(c).alias(c) for c in [*COUNTS, *SUMS]))
+    blocks = chunks.groupBy("page_id", "block_idx").agg(*(F.sum(c).alias(c) for c in [*COUNTS, *SUMS]), F.sort_array(F.flatten(F.collect_list(F.when(F.size("states") > 0, F.col("states"))))).alias("states"))
+    return corrected(blocks).drop("states")
+
+
+def corrected(blocks: DataFrame) -> DataFrame:
+    """Counts of blocks after the parts of their lines, in order, have met (a state for 512 words at most)."""
+    met = F.filter(
+        F.zip_with(F.col("states"), F.concat(F.array(F.lit(None)), F.col("states")), lambda b, a: F.struct(a.alias("a"), b.alias("b"))),
+        lambda s: s["a"].isNotNull() & s["b"].isNotNull() & (s["a"]["line_idx"] == s["b"]["line_idx"]),
+    )
+    number = lambda test: F.size(F.filter(F.col("met"), test))
+    gap = lambda s: s["b"]["x0"] - s["a"]["x1"]
+    less = {"n_lines": lambda s: F.lit(True), "n_stops": lambda s: s["a"]["stop"], "n_bullets": lambda s: s["b"]["bullet"], "n_small": lambda s: s["b"]["small"], "n_head_small": lambda s: s["b"]["head_small"]}
+    more = {"n_gaps": lambda s: gap(s).isNotNull(), "n_wide": lambda s: F.coalesce(gap(s) > WIDE_GAP, F.lit(False))}
+    out = blocks.withColumn("met", met)
+    return out.withColumns({c: F.col(c) - number(t) for c, t in less.items()} | {c: F.col(c) + number(t) for c, t in more.items()}).drop("met")
 
 
 def with_kinds(blocks: DataFrame) -> DataFrame:

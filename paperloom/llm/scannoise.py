@@ -217,7 +217,7 @@ def learn(words: DataFrame, share: float = 0.0015, number_share: float = 0.01, p
         out = lambda: pa.RecordBatch.from_arrays([pa.array(total, pa.int64()), pa.array(total.values(), pa.int64())], ["pair", "n"])
         for t in word_tables(batches, 4000):
             c = look_up(t.column("value"))
-            block = np.cumsum(starts(*(t.column(k).to_numpy() for k in ("page_id", "block_idx", "chunk"))))
+            block = np.cumsum(starts(*(t.column(k).to_numpy() for k in ("page_id", "block_idx", "chunk", "part"))))
             found = []
             for d in range(1, WINDOW + 1):
                 a, b = c[:-d], c[d:]
@@ -352,7 +352,7 @@ def findings(words: DataFrame, model: Model) -> DataFrame:
                 for k, v in zip(target.names, (what, page[i], block[i], word_ids, text, numbers, top, bottom, known, size)):
                     out[k].append(v)  # noqa: B023
 
-            new_chunk = starts(page, block, chunk)
+            new_chunk = starts(page, block, chunk, t.column("part").to_numpy())
             new_line = new_chunk | starts(line)
             at = np.flatnonzero(new_chunk)
             for s, e in zip(at.tolist(), [*at[1:].tolist(), len(page)]):

@@ -89,3 +89,19 @@ def test_viterbi_against_plain():
             best = np.array([max(step[i]) for i in range(9)]) + score[t]
         mine = sum(score[t, got[t]] for t in range(a, b)) - SWITCH * (np.diff(got[a:b]) != 0).sum()
         assert abs(mine - best.max()) < 1e-6
+
+
+def test_a_page_of_one_line(spark):
+    """A line of many words is cut, and its parts count as one line: as a plain count over all of it."""
+    random.seed(5)
+    n, rows, x = 3000, [], 0.0
+    for k in range(n):
+        gap = 0.05 if k % 10 == 0 else 0.001
+        x += gap
+        place = None if k % 97 == 5 else [x, 0.1, x + 0.01, 0.12]
+        rows.append((k, 7, 0, 0, k, random.choice(["alpha", "beta.", "•", "Gamma"]) if k != 1023 else "end.", place, 0.5, 0.5, 1, T))
+        x += 0.01
+    r = page_statistics(spark.createDataFrame(rows, WORDS), {"alpha", "beta"}).first()
+    has = [(a[6], b[6]) for a, b in zip(rows, rows[1:]) if a[6] and b[6]]
+    assert (r.n_words, r.n_lines) == (n, 1) and r.stop_line_share == float(rows[-1][5].endswith(".")) and r.bullet_line_share == float(rows[0][5] == "•")
+    assert abs(r.wide_gap_share - sum(b[0] - a[2] > 0.02 for a, b in has) / len(has)) < 1e-9
