@@ -3,10 +3,12 @@
 Scripts narrow the candidates: Cyrillic and Greek words have one language here,
 Latin ones seven.  Words are scored by how often they stand on pages of each
 language, learnt over the whole corpus from the labels the pages came with; the
-labels are noisy, but the words outvote them, and one more round with the pages'
-own results cleans them.  Words the model does not know, as invented names,
+labels are noisy, but the words outvote them, and a second round, which counts
+every word under the language that the first one decoded it as, cleans them, even
+where a whole feed has a wrong label.  Words the model does not know, as invented names,
 references and numbers, score nothing.  Viterbi with a penalty for every switch
-labels the words of a block; blocks are decoded side by side.  The counts of
+labels the words of a block; blocks are decoded side by side.  Its path gives
+spans of one language, joined over the chunks of a block.  The counts of
 words by language are summed to blocks and pages; the page's main language is
 that of most of its words.
 
@@ -21,10 +23,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.dedup import first_delivery
+from ..session import checkpoint
 from .lookalike import MEMBERS, script_of
 from .pagestream import Lookup, chunk_words, starts, word_tables
 from .quality import WORD, bare
@@ -55,16 +58,24 @@ def _letters(value: Column) -> Column:
 def word_scores(words: DataFrame, languages: DataFrame, share: float = 0.002) -> dict[str, np.ndarray]:
     """Log-likelihood of frequent words by language, against the mean of the candidates.
 
-    ``languages``: ``page_id, lang``.  Kept are words with ``share`` occurrences
-    a page, some ten thousand at most, whatever the corpus.
+    ``languages``: ``page_id, lang``.
     """
     tokens = words.filter("value is not null").select("page_id", _letters(F.col("value")).alias("w")).filter("length(w) > 0")
-    pages = languages.count()
-    rows = (
-        tokens.join(languages, "page_id").groupBy("w", "lang").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("w").pivot("lang", LANGUAGES).agg(F.sum("n")).na.fill(0)
-        .filter(sum(F.col(x) for x in LANGUAGES) >= max(3, share * pages)).collect()
-    )
+    pages = {r.lang: r["count"] for r in languages.groupBy("lang").count().collect()}
+    return _scores(tokens.join(languages, "page_id").groupBy("w", "lang").agg(F.count(F.lit(1)).alias("n")), pages, share)
+
+
+def _scores(counts: DataFrame, pages: dict[str, float], share: float) -> dict[str, np.ndarray]:
+    """Scores from ``w, lang, n``.
+
+    Kept are words with ``share`` occurrences a page of a language, some ten
+    thousand for each language at most, whatever the corpus.
+    """
+    frequent = [F.col(x) >= max(3, share * pages.get(x, 0)) for x in LANGUAGES]
+    keep = frequent[0]
+    for f in frequent[1:]:
+        keep = keep | f
+    rows = counts.groupBy("w").pivot("lang", LANGUAGES).agg(F.sum("n")).na.fill(0).filter(keep).collect()
     if not rows:
         return {}
     names: dict[str, np.ndarray] = {}
@@ -118,10 +129,16 @@ def viterbi(score: np.ndarray, start: np.ndarray, switch: float = SWITCH) -> np.
     return label
 
 
-def block_languages(words: DataFrame, scores: dict[str, np.ndarray]) -> DataFrame:
-    """``page_id, block_idx``, words by language and ``lead``: evidence of each language, in nats."""
-    shared = words.sparkSession.sparkContext.broadcast(scores)
-    rows = chunk_words(words.filter("value is not null"), value=F.col("value"))
+def decoded_words(chunks: DataFrame, scores: dict[str, np.ndarray], what: str) -> DataFrame:
+    """The Viterbi path over the words of each chunk, told in one of three ways.
+
+    ``words``: ``w, lang, n``, each word by the language it was decoded as;
+    ``counts``: words by language and ``lead``, the evidence of each language in
+    nats, of chunks; ``spans``: stretches of one language, from the first to the
+    last word.
+    """
+    shared = chunks.sparkSession.sparkContext.broadcast(scores)
+    key = chunks.schema["page_id"].dataType.simpleString()
 
     def lookup(values: list[str]) -> np.ndarray:
         known, nothing = shared.value, np.zeros(len(LANGUAGES), np.float32)
@@ -131,27 +148,92 @@ def block_languages(words: DataFrame, scores: dict[str, np.ndarray]) -> DataFram
             made[i, -1] = 1.0 if WORD.search(v) else 0.3
         return made
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         look_up = Lookup(lookup)
         for t in word_tables(batches):
-            page, block = (t.column(c).to_numpy() for c in ("page_id", "block_idx"))
             traits = look_up(t.column("value"))
+            at = np.flatnonzero(starts(*(t.column(c).to_numpy() for c in ("page_id", "block_idx", "chunk", "part"))))
             score = traits[:, :-1]
-            at = np.flatnonzero(starts(page, block, t.column("chunk").to_numpy(), t.column("part").to_numpy()))
-            label = viterbi(score, at)
-            known = np.abs(score).sum(axis=1) > 0
-            n = np.zeros((len(page), len(LANGUAGES)), np.int64)
+            yield t, traits, at, viterbi(score, at), np.abs(score).sum(axis=1) > 0
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[str, np.ndarray] = {}
+        spell = Lookup(lambda vs: np.array([bare(v) or v.lower() if WORD.search(v) or v.isalpha() else "" for v in vs], object))
+
+        def out() -> pa.RecordBatch:
+            w, n = list(total), np.array(list(total.values())).reshape(-1, len(LANGUAGES))
+            i, j = np.nonzero(n)
+            return pa.RecordBatch.from_arrays([pa.array([w[k] for k in i], pa.string()), pa.array([LANGUAGES[k] for k in j], pa.string()), pa.array(n[i, j].astype(np.int64))], ["w", "lang", "n"])
+
+        for t, _, at, label, known in decode(batches):
+            size = np.diff(np.append(at, len(label)))
+            sure = np.add.reduceat(known, at)
+            heard = np.repeat((sure * 3 >= size) & (sure >= 8), size)  # a chunk with few known words says nothing
+            for w, x in zip(spell(t.column("value"))[heard].tolist(), label[heard].tolist()):
+                if w:
+                    if (n := total.get(w)) is None:
+                        n = total[w] = np.zeros(len(LANGUAGES), np.int64)
+                    n[x] += 1
+            if len(total) > 200_000:
+                yield out()
+                total.clear()
+        yield out()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, traits, at, label, known in decode(batches):
+            n = np.zeros((len(label), len(LANGUAGES)), np.int64)
             n[np.flatnonzero(known), label[known]] = 1
-            count, lead = np.add.reduceat(n, at), np.add.reduceat(score.astype(np.float64), at)
+            sums, lead = np.add.reduceat(n, at), np.add.reduceat(traits[:, :-1].astype(np.float64), at)
             size = np.add.reduceat(traits[:, -1].astype(np.float64), at)
-            arrays = [pa.array(page[at]), pa.array(block[at].astype(np.int32)), pa.array(size), *(pa.array(count[:, i]) for i in range(len(LANGUAGES))), *(pa.array(lead[:, i]) for i in range(len(LANGUAGES)))]
-            yield pa.RecordBatch.from_arrays(arrays, ["page_id", "block_idx", "n_words", *(f"n_{x}" for x in LANGUAGES), *(f"lead_{x}" for x in LANGUAGES)])
+            arrays = [*(t.column(c).combine_chunks().take(pa.array(at)) for c in ("page_id", "block_idx")), pa.array(size), *map(pa.array, sums.T), *map(pa.array, lead.T)]
+            yield pa.RecordBatch.from_arrays([a.combine_chunks() if isinstance(a, pa.ChunkedArray) else a for a in arrays], ["page_id", "block_idx", "n_words", *(f"n_{x}" for x in LANGUAGES), *(f"lead_{x}" for x in LANGUAGES)])
+
+    def span(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, traits, at, label, known in decode(batches):
+            mark = np.zeros(len(label), bool)
+            mark[at] = True
+            first = np.flatnonzero(starts(label) | mark)
+            last = np.append(first[1:], len(label)) - 1
+            own = known & (traits[np.arange(len(label)), label] >= traits[:, :-1].max(axis=1) - 1e-6)
+            take = lambda c, i: t.column(c).combine_chunks().take(pa.array(i))
+            arrays = [take("page_id", first), take("block_idx", first), *(take(c, i) for i in (first, last) for c in ("line_idx", "word_idx", "word_id")), pa.array([LANGUAGES[k] for k in label[first]]), pa.array(last - first + 1), *(pa.array(np.add.reduceat(x.astype(np.int64), first)) for x in (known, own))]
+            yield pa.RecordBatch.from_arrays([a.combine_chunks() if isinstance(a, pa.ChunkedArray) else a for a in arrays], SPAN)
+
+    word = chunks.schema["words"].dataType.elementType["word_id"].dataType.simpleString()
+    if what == "words":
+        return chunks.mapInArrow(tally, "w string, lang string, n long")
+    if what == "counts":
+        return chunks.mapInArrow(count, f"page_id {key}, block_idx int, n_words double, {SCHEMA}, " + ", ".join(f"lead_{x} double" for x in LANGUAGES))
+    ends = ", ".join(f"{e}_line int, {e}_word int, {e}_id {word}" for e in ("first", "last"))
+    return chunks.mapInArrow(span, f"page_id {key}, block_idx int, {ends}, lang string, n_words long, n_known long, n_own long")
+
 
-    schema = f"page_id {words.schema['page_id'].dataType.simpleString()}, block_idx int, n_words double, {SCHEMA}, " + ", ".join(f"lead_{x} double" for x in LANGUAGES)
-    parts = rows.mapInArrow(run, schema)
+SPAN = ["page_id", "block_idx", "first_line", "first_word", "first_id", "last_line", "last_word", "last_id", "lang", "n_words", "n_known", "n_own"]
+
+
+def block_languages(chunks: DataFrame, scores: dict[str, np.ndarray]) -> DataFrame:
+    """``page_id, block_idx``, words by language and ``lead``: evidence of each language, in nats."""
+    parts = decoded_words(chunks, scores, "counts")
     return parts.groupBy("page_id", "block_idx").agg(*(F.sum(c).alias(c) for c in parts.columns[2:]))
 
 
+def language_spans(words: DataFrame, pages: DataFrame) -> DataFrame:
+    """Stretches of one language in each block: first and last word, language and confidence.
+
+    Neighbouring stretches of one language, of one chunk or the next, are one.
+    The confidence is the share of the known words that speak for the language
+    themselves; stretches without a known word have none and no language.
+    """
+    chunks, scores, _ = trained(words, pages)
+    spans = decoded_words(chunks, scores, "spans")
+    order = Window.partitionBy("page_id", "block_idx").orderBy("first_line", "first_word", "first_id")
+    spans = spans.withColumn("lang", F.when(F.col("n_known") > 0, F.col("lang")))
+    spans = spans.withColumn("span_idx", F.sum((~F.lag("lang", 1, "").over(order).eqNullSafe(F.col("lang"))).cast("int")).over(order))
+    at = lambda e: F.struct(f"{e}_line", f"{e}_word", f"{e}_id")
+    out = spans.groupBy("page_id", "block_idx", "span_idx", "lang").agg(F.min(at("first")).alias("a"), F.max(at("last")).alias("b"), *(F.sum(c).alias(c) for c in ("n_words", "n_known", "n_own")))
+    return out.select("page_id", "block_idx", F.col("span_idx").cast("int").alias("span_idx"), F.col("a.first_id").alias("first_word_id"), F.col("b.last_id").alias("last_word_id"), "n_words", "lang", F.round(F.coalesce(F.try_divide("n_own", "n_known"), F.lit(0.0)), 4).alias("confidence"))
+
+
 def _best(prefix: str) -> Column:
     """The language with the greatest column; ties go to the earlier language."""
     top = F.greatest(*(F.col(f"{prefix}_{x}") for x in LANGUAGES))
@@ -166,16 +248,27 @@ def _judged(df: DataFrame, least_words: int, least_share: float) -> DataFrame:
     return df.withColumn("lang", F.when(enough, _best("n"))).withColumn("confidence", F.when(enough, F.round(top / known, 4)).otherwise(0.0))
 
 
+def trained(words: DataFrame, pages: DataFrame, share: float = 0.002) -> tuple[DataFrame, dict[str, np.ndarray], DataFrame]:
+    """Chunks of words, scores after two rounds, and the pages' labels."""
+    labels = first_delivery(pages.select("page_id", F.col("language.value").alias("value"), "received_at"), "page_id", ["value"], "received_at")
+    labels = labels.select("page_id", language_code(F.col("value")).alias("label"))
+    named = labels.filter("label is not null").select("page_id", F.col("label").alias("lang"))
+    chunks = checkpoint(chunk_words(words.filter("value is not null"), value=F.col("value")))  # read by both rounds
+    first = word_scores(words, named, share)
+    counts = checkpoint(decoded_words(chunks, first, "words").groupBy("w", "lang").agg(F.sum("n").alias("n")))
+    heard = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    total = labels.count() / max(1, sum(heard.values()))
+    return chunks, _scores(counts, {k: n * total for k, n in heard.items()}, share) or first, labels
+
+
 def detect_languages(words: DataFrame, pages: DataFrame, margin: float = 6.0) -> tuple[DataFrame, DataFrame]:
     """Pages (``page_id, label, lang, confidence``) and blocks (``page_id, block_idx, lang, confidence, main``).
 
     ``margin``: evidence, in nats, by which a block's language must be ahead of
     the page's main one.
     """
-    labels = first_delivery(pages.select("page_id", F.col("language.value").alias("value"), "received_at"), "page_id", ["value"], "received_at")
-    labels = labels.select("page_id", language_code(F.col("value")).alias("label"))
-    scores = word_scores(words, labels.filter("label is not null").select("page_id", F.col("label").alias("lang")))
-    blocks = block_languages(words, scores)
+    chunks, scores, labels = trained(words, pages)
+    blocks = checkpoint(block_languages(chunks, scores))  # a few numbers a block, read twice
     counts = blocks.groupBy("page_id").agg(*(F.sum(c).alias(c) for c in ["n_words", *(f"n_{x}" for x in LANGUAGES)]))
     main = _judged(counts, 3, 0.3).select("page_id", "lang", "confidence")
     out = labels.join(main, "page_id").select("page_id", "label", "lang", "confidence")

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint
 from .lookalike import visible
 from .pagestream import PART_WORDS, Lookup, chunk_words, edge, starts, word_tables
 
@@ -55,15 +56,18 @@ def bare(value: str) -> str:
 
 
 def common_words(words: DataFrame, share: float = 0.004) -> set[str]:
-    """Words with at least ``share`` occurrences a page.
+    """Words with at least ``share`` occurrences a page of their script, so that a rare script has its words too.
 
     Their number is at most the words of a mean page by ``share``: some ten
     thousand, whatever the corpus.  All words are counted.
     """
     w = words.filter("value is not null").select(F.lower(F.regexp_replace("value", r"[^\p{L}\p{M}]+", "")).alias("w")).filter("length(w) > 1")
-    pages = words.select("page_id").distinct().count()
-    rows = w.groupBy("w").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= max(2, share * pages)).select("w").collect()
-    return {b for r in rows if (b := bare(r.w))}
+    pages = words.agg(F.approx_count_distinct("page_id")).first()[0]
+    script = F.when(F.col("w").rlike(r"\p{IsCyrillic}"), "C").when(F.col("w").rlike(r"\p{IsGreek}"), "G").otherwise("L").alias("script")
+    counted = checkpoint(w.groupBy("w").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").withColumn("script", script))
+    size = {r.script: r.n for r in counted.groupBy("script").agg(F.sum("n").alias("n")).collect()}
+    least = F.coalesce(*(F.when(F.col("script") == k, F.lit(max(2, share * pages * n / sum(size.values())))) for k, n in size.items()), F.lit(2))
+    return {b for r in counted.filter(F.col("n") >= least).select("w").collect() if (b := bare(r.w))}
 
 
 def block_counts(words: DataFrame, common: set[str] | None = None) -> DataFrame:

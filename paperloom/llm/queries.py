@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
-from .language import detect_languages, language_cases
+from .language import detect_languages, language_cases, language_spans
 from .leakage import leaked_items
 from .lookalike import consistent, learn_scripts, same_looking_labels
 from .quality import page_statistics
@@ -35,6 +35,11 @@ def p2_pages(spark: SparkSession, d: str) -> DataFrame:
     return detect_languages(table(spark, d, "ocr_words"), table(spark, d, "ocr_pages"))[0]
 
 
+def p2_spans(spark: SparkSession, d: str) -> DataFrame:
+    """Stretches of one language inside blocks, with confidence."""
+    return language_spans(table(spark, d, "ocr_words"), table(spark, d, "ocr_pages"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return page_statistics(table(spark, d, "ocr_words")).filter("kind != 'prose'").select("page_id", "kind")
 
@@ -69,5 +74,5 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return truncation_shares(table(spark, d, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_forms, p2_found, p2_pages, p3_found, p3_statistics, p5_found, p5_paragraphs, p6_ids, p7_found, p8_found, p8_shares)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_forms, p2_found, p2_pages, p2_spans, p3_found, p3_statistics, p5_found, p5_paragraphs, p6_ids, p7_found, p8_found, p8_shares)}
 SQL: dict[str, str] = {}

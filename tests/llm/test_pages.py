@@ -6,7 +6,9 @@ from datetime import datetime
 import numpy as np
 import pytest
 
-from paperloom.llm.language import LANGUAGES, SWITCH, detect_languages, language_cases, viterbi
+from pyspark.sql import functions as F
+
+from paperloom.llm.language import LANGUAGES, SWITCH, detect_languages, language_cases, language_spans, viterbi
 from paperloom.llm.quality import page_statistics
 
 T = datetime(2024, 1, 1)
@@ -105,3 +107,16 @@ def test_a_page_of_one_line(spark):
     has = [(a[6], b[6]) for a, b in zip(rows, rows[1:]) if a[6] and b[6]]
     assert (r.n_words, r.n_lines) == (n, 1) and r.stop_line_share == float(rows[-1][5].endswith(".")) and r.bullet_line_share == float(rows[0][5] == "•")
     assert abs(r.wide_gap_share - sum(b[0] - a[2] > 0.02 for a, b in has) / len(has)) < 1e-9
+
+
+def test_spans(corpus, spark):
+    """A switch inside a block gives two spans; a feed with one wrong label for all its pages does not teach it."""
+    w, p = corpus
+    mixed = SENTENCES["en"] + SENTENCES["de"]
+    line = [(200_000 + k, 300, 0, k // 8, k % 8, v, None, 0.5, 0.5, 1, T) for k, v in enumerate(mixed)]
+    got = language_spans(w.union(spark.createDataFrame(line, WORDS)), p).filter("page_id = 300").orderBy("span_idx").collect()
+    assert [(r.lang, r.first_word_id, r.last_word_id, r.n_words) for r in got] == [("en", 200_000, 200_000 + 15, 16), ("de", 200_000 + 16, 200_000 + 30, 15)]
+    assert all(r.confidence > 0.7 for r in got)
+    wrong = p.withColumn("language", F.when(F.expr("page_id < 60 and page_id % 12 = 1"), F.struct(F.lit("en").alias("value"), F.lit(0.5).alias("confidence"))).otherwise(F.col("language")))
+    cases = {(r.page_id, r.block_idx, r.lang) for r in language_cases(w, wrong).collect()}
+    assert {(k, -1, "de") for k in range(1, 60, 12)} <= cases
