@@ -5,10 +5,12 @@ letters are decomposed; full-width and half-width forms, ligatures and unusual
 blanks become plain, while raised, circled, fraction and trade-mark signs, which
 look different, stay.  Ignorable characters are deleted.  Then every letter that
 has look-alikes in other scripts opens a column of a lattice, one node for each
-script, and Viterbi takes the best path under character n-gram scores of the
-scripts, learnt from the corpus, with a penalty for leaving a script.  The
-lattice depends only on what is seen, so tokens that look the same come out the
-same; what differs in case, accents, punctuation or by a misreading does not.
+script, and Viterbi takes the best path under character trigram scores of the
+scripts, learnt from the corpus, with a penalty for leaving a script.  Letters
+that look nearly alike open a column too, with a price for the other reading: so
+the path decides whether a stray one is a slip of script or the letter of a word
+of its own, and two texts are equal when their best paths are.  What
+differs in case, accents, punctuation or by a misreading stays different.
 
 Defined results: null stays null; a text of ignorable characters and blanks only
 becomes empty; blanks around a text go, blanks within become one space.
@@ -16,7 +18,9 @@ becomes empty; blanks around a text go, blanks within become one space.
 
 from __future__ import annotations
 
+import functools
 import math
+import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -30,15 +34,19 @@ ALIKE = (
     "aа. eе. oоο pр. cс. yу. xх. iі. jј. sѕ. hһ. dԁ. qԛ. wԝ. v.ν "
     "AАΑ BВΒ EЕΕ KКΚ MМΜ HНΗ OОΟ PРΡ CС. TТΤ XХΧ IІΙ JЈ. SЅ. YҮΥ Z.Ζ N.Ν WԜ. QԚ. .ГΓ .ПΠ .ФΦ "
 ).split()
+#: Letters of other scripts that look nearly like a Latin one (fixed values): the lattice decides by their word.
+NEARLY = {"к": "k", "м": "m", "т": "t", "κ": "k", "τ": "t"}
 SCRIPTS = "LCG"
 #: Look-alike -> its class, named by the first of its letters.
 CLASS = {c: next(x for x in row if x != ".") for row in ALIKE for c in row if c != "."}
 MEMBERS = {next(x for x in row if x != "."): row for row in ALIKE}
 #: For str.translate: every look-alike to one letter, and hyphens to one.
 LATIN = {ord(c): k for c, k in CLASS.items()} | {0x2010: "-", 0x2011: "-", 0xB5: "\u03bc"}
+#: Runs of letters of one script.
+PURE = re.compile("[A-Za-z\u00c0-\u024f\u0300-\u036f]+|[\u0400-\u052f\u0300-\u036f]+|[\u0370-\u03ff\u0300-\u036f]+")
 IGNORABLE = {0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x180B, 0x180C, 0x180D, 0x3164, 0xFFA0, *range(0xFE00, 0xFE10)}
-#: Cost, in nats, of a neighbour in another script.
-SWITCH = 6.0
+#: Cost, in nats, of a neighbour in another script, and of reading a letter as one that looks nearly alike.
+SWITCH, NEAR_COST = 6.0, 3.0
 
 
 def plain(c: str) -> str:
@@ -71,20 +79,22 @@ def visible(text: str) -> str:
 
 
 class Scripts:
-    """Character bigram scores within each script."""
+    """Character trigram scores within each script, from counts of runs of one, two and three characters."""
 
     def __init__(self, counts: Iterable[tuple[str, int]]):
-        pair: Counter[str] = Counter()
-        single: Counter[str] = Counter()
+        self.count: Counter[str] = Counter()
         for gram, n in counts:
-            pair[gram] += n
-            single[gram[0]] += n
-        self.score = {g: math.log((n + 0.1) / (single[g[0]] + 10)) for g, n in pair.items()}
-        self.unseen = {c: math.log(0.1 / (n + 10)) for c, n in single.items()}
+            self.count[gram] += n
         self.memo: dict[str, str] = {}
+        self.size = sum(n for g, n in self.count.items() if len(g) == 1)
 
-    def between(self, a: str, b: str) -> float:
-        return self.score.get(a + b, self.unseen.get(a, -6.0))
+    def score(self, before: str, c: str) -> float:
+        """Log probability of a character after the two before it, backing off to one and to none."""
+        p = (self.count[c] + 0.1) / (self.size + 100)
+        for k in (1, 2):
+            if len(before) >= k:
+                p = (self.count[before[-k:] + c] + 10 * p) / (self.count[before[-k:]] + 10)
+        return math.log(p)
 
     def form(self, text: str | None) -> str | None:
         if text is None:
@@ -97,30 +107,39 @@ class Scripts:
         return done
 
     def _best(self, token: str) -> str:
-        """Viterbi over the scripts of the letters; ties go to the earlier script."""
-        paths = {"": (0.0, "", "^")}  # script of the last letter -> score, text, last letter
+        """Viterbi over the readings of the letters; ties go to the earlier script.
+
+        A state is the last two letters as read.  Letters of no script are
+        passed over, so they neither part a word nor cost anything.
+        """
+        paths = {"^": (0.0, "", "")}  # the last two letters -> score, text, script of the last
         for c in token:
-            row = MEMBERS.get(c)
-            nodes = [(SCRIPTS[i], x) for i, x in enumerate(row) if x != "."] if row else [(script_of(c), c)]
+            nodes = readings(c)
+            if nodes is None:
+                paths = {k: (score, text + c, script) for k, (score, text, script) in paths.items()}
+                continue
             fresh: dict[str, tuple[float, str, str]] = {}
-            for script, x in nodes:
-                best = None
-                for last, (score, text, before) in paths.items():
-                    if not script:
-                        key, total = last, score
-                    else:
-                        key = script
-                        total = score + self.between(before, x) - (SWITCH if last and last != script else 0)
-                    if best is None or total > best[0] + 1e-12:
-                        best = total, text + x, x if script else before, key
-                    if not script:
-                        fresh[last] = score, text + x, before
-                if script:
-                    fresh[script] = best[:3]
+            for script, x, price in nodes:
+                for before, (score, text, last) in paths.items():
+                    total = score - price - SWITCH * (last not in ("", script)) + self.score(before if last in ("", script) else "", x)
+                    key = (before + x)[-2:]
+                    if key not in fresh or total > fresh[key][0] + 1e-12:
+                        fresh[key] = total, text + x, script
             paths = fresh
         return max(paths.values(), key=lambda p: p[0])[1]
 
 
+@functools.cache
+def readings(c: str) -> list[tuple[str, str, float]] | None:
+    """Script, letter and price of what a character can be read as; None if it belongs to no script."""
+    if (row := MEMBERS.get(c)) is not None:
+        return [(SCRIPTS[i], x, 0.0) for i, x in enumerate(row) if x != "."]
+    if not (own := script_of(c)):
+        return None
+    near = NEARLY.get(c)
+    return [(own, c, 0.0)] + ([("L", near, NEAR_COST)] if near else [])
+
+
 def script_of(c: str) -> str:
     """L, C, G, or '' for what belongs to no script."""
     if c.isascii():
@@ -130,17 +149,30 @@ def script_of(c: str) -> str:
 
 
 def learn_scripts(texts: DataFrame, column: str) -> Scripts:
-    """Bigram counts of all tokens, of pairs within one script.
+    """Counts of runs of up to three characters, all of one script, over all tokens.
 
-    The result has at most one row a pair of letters of an alphabet, some
+    The result has at most one row for three letters of an alphabet, some ten
     thousands, whatever the corpus.
     """
     tokens = texts.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    bare = F.concat(F.lit("^"), F.regexp_replace(column, r"[^\p{IsLatin}\p{IsCyrillic}\p{IsGreek}]", ""))
-    pairs = tokens.select("n", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(bare) - 1)), lambda i: F.substring(bare, i, F.lit(2)))).alias("pair"))
-    same = r"^(?:\^.|\p{IsLatin}{2}|\p{IsCyrillic}{2}|\p{IsGreek}{2})$"
-    rows = pairs.filter(F.col("pair").rlike(same)).groupBy("pair").agg(F.sum("n").alias("n"))
-    return Scripts((r.pair, r.n) for r in rows.orderBy(F.desc("n"), "pair").collect())
+    return Scripts((r.gram, r.n) for r in _grams(tokens, column).collect())
+
+
+def _grams(tokens: DataFrame, column: str) -> DataFrame:
+    """``gram, n`` of distinct tokens with their counts; every task sums its own first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: Counter[str] = Counter()
+        for b in batches:
+            for text, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                for part in PURE.findall(unicodedata.normalize("NFD", text)):
+                    whole = "^" + part
+                    for k in (1, 2, 3):
+                        for i in range(len(whole) - k + 1):
+                            total[whole[i : i + k]] += n
+        yield pa.RecordBatch.from_arrays([pa.array(total, pa.string()), pa.array(total.values(), pa.int64())], ["gram", "n"])
+
+    return tokens.select(column, "n").mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def consistent(df: DataFrame, columns: dict[str, str], scripts: Scripts) -> DataFrame:

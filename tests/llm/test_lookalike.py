@@ -29,3 +29,13 @@ def test_labels(spark):
     assert same_looking_labels(w.limit(0), t).collect() == [] and same_looking_labels(w, t.limit(0)).collect() == []
     out = consistent(w.select("word_id", "value"), {"value": "form"}, model(spark)).collect()
     assert len(out) == 7 and {r.form for r in out} == {"the", None, "", "m²"}
+
+
+def test_scores_decide(spark):
+    """A letter that looks nearly like another is read by its word: only the learnt scores can tell."""
+    words = [(i, w) for i, w in enumerate(["cook", "cooks", "took", "hook", "сок", "кот", "окно", "рак", "cooк", "рак"] * 6)]
+    w = spark.createDataFrame(words + [(500, "cooк"), (501, "сок")], "word_id long, value string")
+    learned = learn_scripts(w, "value")
+    assert learned.form("cooк") == "cook" != Scripts([]).form("cooк") and learned.form("сок") == "сок" and learned.form("рак") == "рак" != learned.form("pak")
+    t = spark.createDataFrame([(1, 500, "cook"), (2, 501, "cok")], "label_id long, word_id long, text string")
+    assert [tuple(r) for r in same_looking_labels(w, t).collect()] == [(500, 1)]
