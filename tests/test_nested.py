@@ -9,8 +9,14 @@ T0, T1 = datetime(2024, 1, 1), datetime(2024, 1, 2)
 
 
 def walk(payload):
-    text, out = unwrapped(payload), []
-    level, root = [json.loads(text)] if text else [], None
+    """The rows of a payload from a parser and a plain recursive walk."""
+    out, root = [], None
+    try:
+        level = [json.loads((payload or "").lstrip("\ufeff \t\r\n"))]
+    except ValueError:
+        return []
+    while isinstance(level[0], str):
+        level = [json.loads(level[0])]
     while level and root is None:
         root = next((x for x in level if isinstance(x, dict) and any(isinstance(x.get(k), (dict, list)) for k in ("items", "layout", "tables"))), None)
         level = [v for x in level for v in (x.values() if isinstance(x, dict) else x) if isinstance(v, (dict, list))]
@@ -70,3 +76,44 @@ def test_deliveries_and_empty(spark):
 def test_huge_payload(spark):
     big = json.dumps({"items": [{"blocks": [{"lines": [{"words": [{"value": "x" * 50}] * 40000}]}]}]})
     assert rows(spark, [big], values=False).count() == 40003
+
+
+def test_no_caps(spark):
+    """Any number of wrappers and levels, escaped and nearly equal keys, repeated keys."""
+    one = '{"layout": [{}]}'
+    nine = one
+    for _ in range(9):
+        nine = json.dumps(nine)
+    deep = "[" * 20000 + "]" * 20000
+    payloads = [
+        nine, '{"extra": %s, "layout": [{"x": %s}]}' % (deep, deep), '{"l\\u0061yout": [{}]}', '{"layouT": [{}]}', '{"layout": [1, {}], "layout": [{}]}', '{"a": ' * 3000 + one + "}" * 3000,
+        json.dumps({"body": json.dumps({"result": json.dumps(json.loads(one))})}), json.dumps(["{broken", one]),
+    ]
+    got = sorted((r.export_id, r.path) for r in rows(spark, payloads, values=False).collect())
+    assert got == [(i, "layout/0") for i in (0, 1, 2, 4, 5, 6, 7)]
+    near = '{"layout": [{"confidenTE": 0.1, "confidence": 0.2, "geometry_": 1, "v\\u0061lue": "x"}]}'
+    r = typed_objects(rows(spark, [near])).first()
+    assert (r.confidence, r.value, r.geometry) == (0.2, "x", None)
+
+
+BROKEN = [
+    '{"layout": [{}]', '{"layout": [{}]}}', '{"layout": [{]}}', '{"layout": [{},]}', '{"layout": [,{}]}', '{"layout" [{}]}', '{"layout": [{}] "x": 1}', '{layout: [{}]}', '{"layout": [{}], }', '{"layout": [{"a": 01}]}', '{"layout": [{"a": tru}]}',
+    '{"layout": [{"a": "\\x"}]}', '{"layout": [{"a": "\\u12g4"}]}', '{"layout": [{"a": "\n"}]}', '{"layout": [{"a": 1 2}]}', '{"layout": [{"a"}]}', '{"layout": [{"a": }]}', '{"layout": [{1: 2}]}', '{"layout": [{"a": "b" "c"}]}', '{"layout": [{}]} {}', '["layout": [{}]]',
+    '{"layout": [{}]} x', "{'layout': [{}]}", '{"layout": [{"a": .5}]}', '{"layout": [{"a": 1.}]}', '{"layout": [{"a": -}]}', '{"layout": ["a":1, {}]}', '{"layout": [{"a": "b]}', '\\"{"layout": [{}]}', '{"layout": [{}]}\\', ':{"layout": [{}]}', '{"layout": [{}{}]}', '{"a","layout": [{}]}', '{"a":"b":"c","layout": [{}]}',
+]
+
+
+def test_validity_as_a_parser(spark):
+    """Broken texts beside whole ones: exactly those that a parser refuses give no rows."""
+    good = ['{"layout": [{"a": -0.5e+3, "b": [true, false, null, "\\"\\\\", "\\ud83d"]}]}', ' {"layout" : [ { } ] } ', '{"layout": [{}], "x": {}, "y": [], "z": ""}', '{"layout": [{"a": "{[:,]}"}, {}]}', '{"layout":{}}']
+    texts = [x for pair in zip(BROKEN, good * 7) for x in pair]
+    for t in texts:
+        try:
+            json.loads(t)
+            assert t in good
+        except ValueError:
+            assert t in BROKEN
+    got = {}
+    for r in rows(spark, texts, values=False).collect():
+        got.setdefault(r.export_id, set()).add((r.path, r.parent_path))
+    assert got == {i: set(walk(t)) for i, t in enumerate(texts) if t in good}
