@@ -326,13 +326,10 @@ def _rows(ids: pa.Array, texts: list[str], values: bool) -> Iterator[pa.RecordBa
     for kind, holder in KINDS:
         if not holder:
             plain[index.text[fields[kind]]] = True
-    if not plain.all():  # unreadable, or JSON inside a string
-        inner = [t if p else unwrapped(t) if v else None for t, p, v in zip(texts, plain.tolist(), index.valid.tolist())]
-        kept = [i for i, t in enumerate(inner) if t is not None]
-        if not kept:
-            return
-        texts, ids = [inner[i] for i in kept], ids.take(pa.array(kept))
-        index = Index([t.encode("utf-8", "surrogatepass") for t in texts])
+    # What holds no OCROut as it stands is unreadable, or has JSON inside a string.
+    inner = {i: t for i in np.flatnonzero(index.valid & ~plain).tolist() if (t := unwrapped(texts[i])) is not None}
+    if inner:
+        yield from _rows(ids.take(pa.array(list(inner))), list(inner.values()), values)
     paths: dict[str, tuple[np.ndarray, pa.Array]] = {}
     found = index.objects()
     for kind, holder in KINDS:
