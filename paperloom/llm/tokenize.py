@@ -3,10 +3,18 @@
 The corpus block of a task is encoded at once.  Its texts are cut into chunks
 (a run of non-blanks with at most one leading space, or a run of blanks); each
 distinct chunk is encoded once.  New chunks are laid out as one array of byte
-symbols, an inverted index takes each adjacent pair to its positions, and the
-merges are replayed over that index in rank order: a merge touches the positions
-of its pair and the pairs beside them, nothing else.  Documents then gather the
-ids of their chunks.  There is no shuffle, and no row is looked at alone.
+symbols, with the rank of the merge that starts at each position beside it.  The
+merges are replayed in waves: a wave applies, in every word that still changes,
+the merge of lowest rank at all its positions, which is the order of ranks within
+each word, and then looks up anew only the merged positions and those before
+them.  Documents then gather the ids of their chunks.  There is no shuffle, and
+no row is looked at alone.
+
+This departs from one global index that takes each pair to its positions and
+applies one merge after the other: merges inside a word depend on that word
+alone, so the ids are the same, while 50 000 steps over short lists of positions
+would cost more than the waves, of which a word needs at most its length.  A
+word that stands in the texts of several tasks is encoded once by each.
 
 Defined results: a null or empty text has the empty list.  Every row of the
 input gives one row, repeated rows and null ids included.
@@ -75,8 +83,7 @@ class Merges:
     def replay(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Offsets and ids of the words.
 
-        ``rank_at`` is the index from pairs to positions: the merge that starts
-        there.  A wave applies to each word its lowest-ranked pair wherever it
+        ``rank_at`` is the rank of the merge that starts at a position.  A wave applies to each word its lowest-ranked pair wherever it
         stands in the word, which is the order of ranks within every word; then
         only the merged positions and those before them are looked up anew.
         """

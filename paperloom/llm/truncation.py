@@ -44,8 +44,6 @@ SEPARATOR = re.compile("\\t|\\s\\s+|;|\\||:(?:\\s|$)")
 #: An entry of a list or a row, for Python and for Arrow.
 STRUCTURED = re.compile(BULLET.pattern + "|" + SEPARATOR.pattern)
 STRUCTURED_ARROW = _BULLET.replace("WORD", "[\\pL\\pN_]") + "|\\t|\\s\\s|;|\\||:(?:\\s|$)"
-#: Characters of the longest line that can be an entry or a row.
-ENTRY = 200
 DIGIT = "\\d\u00b2\u00b3\u00b9\u00bc-\u00be\u2070-\u2089\u2150-\u218f\u2460-\u24ff"
 NUMBER = re.compile(f"(?:\\S{{1,3}}\\s+)?\\S*[{DIGIT}]\\S*")
 LETTERS = "[^\\W\\d_]|[\u0300-\u036f]"
@@ -104,7 +102,7 @@ def _counts(texts: pa.Array, words: dict[str, list[int]], units: Counter[str]) -
     flat = pc.utf8_rtrim_whitespace(lines.flatten())
     keep = np.ones(len(flat), bool)
     keep[ends[1:][ends[1:] > ends[:-1]] - 1 - ends[0]] = False
-    flat = flat.filter(pa.array(keep & pc.less_equal(pc.utf8_length(flat), ENTRY).to_numpy(zero_copy_only=False)))
+    flat = flat.filter(pa.array(keep))
     flat = flat.filter(pc.and_not(pc.match_substring_regex(flat, STRUCTURED_ARROW), pc.match_substring_regex(flat, "[.!?]$|^$"))).value_counts()
     for line, n in zip(flat.field(0).to_pylist(), flat.field(1).to_pylist()):
         if key := " ".join(skeleton_words(entry(line))):
@@ -209,27 +207,33 @@ def truncation_evidence(documents: DataFrame, spike: int = 4, rare: float = 0.02
     prefixes = words.filter("length(word) > 1").select("n", F.explode(F.expr("transform(sequence(1, length(word) - 1), i -> left(word, i))")).alias("node"))
     trie = prefixes.groupBy("node").agg(F.sum("n").alias("beyond"))
     nodes = finals.join(trie, "node").join(words.withColumnRenamed("word", "node"), "node", "left").select(F.col("node").alias("_node"), "beyond", F.coalesce(F.when(F.col("n") >= 3, F.col("n")), F.lit(0)).alias("own"))
-    ends = ends.join(nodes, F.lower("last") == F.col("_node"), "left").drop("_node")
-    ends = ends.join(words.select(F.col("word").alias("_word"), ((F.col("ends") + 0.5) / (F.col("n") + 10)).alias("stops")), F.lower("last") == F.col("_word"), "left").drop("_word")
+    # Only texts without an end are asked; those without a final word or a unit meet nothing, each on a key of its own.
+    spread = lambda key: F.when(key != "", key).otherwise(F.concat(F.lit("\0"), F.col("fingerprint")))
+    done = ends.filter("ended")
+    ends = ends.filter("not ended").withColumns({"_key": spread(F.lower("last")), "_unit": spread(F.col("skeleton"))})
+    ends = ends.join(nodes, F.col("_key") == F.col("_node"), "left").drop("_node")
+    ends = ends.join(words.select(F.col("word").alias("_word"), ((F.col("ends") + 0.5) / (F.col("n") + 10)).alias("stops")), F.col("_key") == F.col("_word"), "left").drop("_word")
 
     # Units that stand alone: entries and labels inside texts, and frequent ends of whole texts.
     alone = parts.filter("part = 'unit'").groupBy("skeleton").agg(F.sum("n").alias("n")).filter("n >= 2")
     closings = open_.groupBy("skeleton").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= at_least(0.0005))
     alone = alone.union(closings).select(F.col("skeleton").alias("_alone")).distinct()
-    ends = ends.join(alone, ends.skeleton == F.col("_alone"), "left")
+    ends = ends.join(alone, F.col("_unit") == F.col("_alone"), "left")
 
     # Are the words of the unit words at all?
-    known = asked.select(F.col("doc_id").alias("_doc"), F.explode("words").alias("word")).join(words, "word", "left").groupBy("_doc").agg(F.avg((F.coalesce("n", F.lit(0)) >= at_least(known_share)).cast("int")).alias("known"), F.count(F.lit(1)).alias("long"))
-    ends = ends.join(known, ends.doc_id == F.col("_doc"), "left").drop("_doc")
+    known = asked.select(F.col("fingerprint").alias("_text"), "words").distinct().select("_text", F.explode("words").alias("word")).join(words, "word", "left").groupBy("_text").agg(F.avg((F.coalesce("n", F.lit(0)) >= at_least(known_share)).cast("int")).alias("known"), F.count(F.lit(1)).alias("long"))
+    ends = ends.join(known, ends.fingerprint == F.col("_text"), "left").drop("_text")
     # A name after a closing is an ending of its own: there a prefix of a few other names tells nothing.
     signed = F.col("last").rlike(r"^\p{Lu}") & F.col("_alone").isNotNull()
     prefix = (F.col("own") < rare * F.col("beyond")) & (F.col("beyond") >= F.when(signed, max(least, name_share * total)).otherwise(least))
     readable = (F.col("known") >= 0.6) | ((F.col("known") >= 0.4) & (F.col("long") <= 3))
-    return ends.select(
-        "doc_id", "source", "fingerprint", "by_limit", "by_report",
-        F.coalesce(~F.col("ended") & prefix & readable, F.lit(False)).alias("by_prefix"),
-        F.coalesce(F.col("broken") | (~F.col("ended") & F.col("prose") & F.col("_alone").isNull() & (F.col("known") >= 0.6) & (F.coalesce("stops", F.lit(0)) < 0.5)), F.lit(False)).alias("by_unit"),
-    ).distinct()
+    kept = ["doc_id", "source", "fingerprint", "by_limit", "by_report"]
+    told = ends.select(
+        *kept,
+        F.coalesce(prefix & readable, F.lit(False)).alias("by_prefix"),
+        F.coalesce(F.col("broken") | (F.col("prose") & F.col("_alone").isNull() & (F.col("known") >= 0.6) & (F.coalesce("stops", F.lit(0)) < 0.5)), F.lit(False)).alias("by_unit"),
+    )
+    return told.union(done.select(*kept, F.lit(False).alias("by_prefix"), F.coalesce("broken", F.lit(False)).alias("by_unit"))).distinct()
 
 
 def truncated(documents: DataFrame, **parameters: float) -> DataFrame:
