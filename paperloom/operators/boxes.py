@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,12 +17,17 @@ def box_of(t: str) -> tuple[Column, ...]:
     return tuple(F.col(f"{t}.{c}") for c in ("x0", "y0", "x1", "y1"))
 
 
-def overlap_pairs(left: DataFrame, right: DataFrame, keys: list[str], closed: bool = False) -> DataFrame:
-    """Pairs, as ``a`` and ``b``, of boxes of one page that overlap (or touch, if ``closed``)."""
-    a, b = left.alias("a"), right.alias("b")
+def overlap_pairs(left: DataFrame, right: DataFrame, keys: list[str], closed: bool = False, band: int = 64) -> DataFrame:
+    """Pairs, as ``a`` and ``b``, of boxes of one page that overlap (or touch, if ``closed``).
+
+    Boxes meet in horizontal bands of the page, not all with all; a pair counts
+    in the band where its intersection begins, so none is made twice.
+    """
     less = (lambda x, y: x <= y) if closed else (lambda x, y: x < y)
-    same = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]
-    return a.join(b, [*same, less(F.col("a.x0"), F.col("b.x1")), less(F.col("b.x0"), F.col("a.x1")), less(F.col("a.y0"), F.col("b.y1")), less(F.col("b.y0"), F.col("a.y1"))])
+    spread = lambda df, t: df.withColumn("_band", F.explode(F.sequence(F.floor(F.col("y0") / band), F.floor(F.col("y1") / band)))).alias(t)
+    same = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in [*keys, "_band"]]
+    first = F.floor(F.greatest(F.col("a.y0"), F.col("b.y0")) / band) == F.col("a._band")
+    return spread(left, "a").join(spread(right, "b"), [*same, first, less(F.col("a.x0"), F.col("b.x1")), less(F.col("b.x0"), F.col("a.x1")), less(F.col("a.y0"), F.col("b.y1")), less(F.col("b.y0"), F.col("a.y1"))])
 
 
 def grid_pairs(left: DataFrame, right: DataFrame, cell: int) -> DataFrame:
@@ -111,51 +119,138 @@ def least_rectangle(points: np.ndarray) -> np.ndarray:
 
 
 def kept_boxes(boxes: np.ndarray, score: np.ndarray, index: np.ndarray, threshold: float) -> np.ndarray:
-    """Places of the boxes that greedy suppression keeps: best score first, then the later index."""
+    """Places of the boxes that greedy suppression keeps: best score first, then the later index.
+
+    All boxes that no better one in conflict with them can suppress any more are
+    kept at once and theirs go; a few rounds give what the greedy loop gives.
+    """
     order = np.lexsort((-index, -score))
-    size = (boxes[:, 2] - boxes[:, 0]) * (boxes[:, 3] - boxes[:, 1])
-    out = []
-    while len(order):
-        first, rest = order[0], order[1:]
-        out.append(first)
-        gain = iou_matrix(boxes[first : first + 1], boxes[rest])[0]
-        order = rest[(gain <= threshold) & (size[first] + size[rest] > 0)]  # two empty boxes have no IoU and suppress each other
-    return np.array(out, int)
+    b = boxes[order]
+    size = (b[:, 2] - b[:, 0]) * (b[:, 3] - b[:, 1])
+    clash = iou_matrix(b, b) > threshold
+    clash |= (size[:, None] <= 0) & (size <= 0)  # two empty boxes have no IoU and suppress each other
+    better, worse = np.nonzero(np.triu(clash, 1))
+    alive, kept = np.ones(len(b), bool), np.zeros(len(b), bool)
+    while alive.any():
+        blocked = np.zeros(len(b), bool)
+        blocked[worse[alive[better]]] = True
+        fresh = alive & ~blocked
+        kept |= fresh
+        alive &= blocked
+        alive[worse[fresh[better]]] = False
+    return order[kept]
 
 
 def nms(boxes: DataFrame, keys: list[str], index: str, score: str, threshold: float = 0.5) -> DataFrame:
-    """Boxes of a page kept by greedy suppression: kept if the IoU with all kept before is at most the threshold."""
-    columns = ["x0", "y0", "x1", "y1"]
+    """Boxes of a page kept by greedy suppression: kept if the IoU with all kept before is at most the threshold.
 
-    def page(pdf: pd.DataFrame) -> pd.DataFrame:
-        kept = kept_boxes(pdf[columns].to_numpy(float), pdf[score].to_numpy(float), pdf[index].to_numpy(), threshold)
-        return pdf.iloc[kept][[*keys, index]]
+    Pages come as arrays, many in a batch of Arrow, so a page costs no call of its own.
+    """
+    columns = ["x0", "y0", "x1", "y1", score]
+    pages = boxes.groupBy(*keys).agg(*(F.collect_list(F.col(c).cast("double")).alias(f"_{c}") for c in columns), F.collect_list(index).alias("_index"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists = b.column(b.num_columns - 1)
+            ends = lists.offsets.to_numpy()
+            value = np.stack([b.column(len(keys) + i).flatten().to_numpy(zero_copy_only=False) for i in range(len(columns))], axis=1)
+            place = lists.flatten()
+            at = place.to_numpy(zero_copy_only=False)
+            ends = ends - ends[0]
+            kept = [s + kept_boxes(value[s:e, :4], value[s:e, 4], at[s:e], threshold) for s, e in zip(ends, ends[1:])]
+            of = pa.array(np.repeat(np.arange(b.num_rows), [len(k) for k in kept]))
+            flat = pa.array(np.concatenate(kept) if kept else np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([*(b.column(i).take(of) for i in range(len(keys))), place.take(flat)], [*keys, index])
 
     types = ", ".join(f"{k} {boxes.schema[k].dataType.simpleString()}" for k in [*keys, index])
-    return boxes.select(*keys, index, score, *columns).groupBy(*keys).applyInPandas(page, types)
+    return pages.mapInArrow(run, types)
 
 
 def containing_cells(words: DataFrame, cells: DataFrame, keys: list[str]) -> DataFrame:
-    """Each word's first cell (table, then cell) that contains its centre, else the nearest within half the median diagonal."""
-    cx, cy = (F.col("a.x0") + F.col("a.x1")) / 2, (F.col("a.y0") + F.col("a.y1")) / 2
-    a, b = words.alias("a"), cells.alias("b")
-    same = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]
+    """Adds ``table_idx, cell_idx``: the first cell (table, then cell) that contains a word's centre, else the nearest within half the median diagonal; words in none are left out.
+
+    A page's cells are one array beside its words, so a word is one row throughout, whatever the number of cells.
+    """
     table = Window.partitionBy(*keys, "table_idx")
     diagonal = F.sqrt((F.col("x1") - F.col("x0")) * (F.col("x1") - F.col("x0")) + (F.col("y1") - F.col("y0")) * (F.col("y1") - F.col("y0")))
     cells = cells.withColumns({"reach": F.percentile(diagonal, F.lit(0.5)).over(table) / 2, "tx0": F.min("x0").over(table), "ty0": F.min("y0").over(table), "tx1": F.max("x1").over(table), "ty1": F.max("y1").over(table)})
-    b = cells.alias("b")
-    pairs = a.join(b, [*same, cx >= F.col("b.tx0"), cx <= F.col("b.tx1"), cy >= F.col("b.ty0"), cy <= F.col("b.ty1")])
-    inside = (cx >= F.col("b.x0")) & (cx < F.col("b.x1")) & (cy >= F.col("b.y0")) & (cy < F.col("b.y1"))
-    dx, dy = cx - (F.col("b.x0") + F.col("b.x1")) / 2, cy - (F.col("b.y0") + F.col("b.y1")) / 2
-    distance = F.sqrt(dx * dx + dy * dy)
-    ranked = pairs.filter(inside | (distance <= F.col("b.reach"))).select(*(F.col(f"a.{k}").alias(k) for k in keys), F.col("a.word_idx").alias("word_idx"), F.col("b.table_idx").alias("table_idx"), F.col("b.cell_idx").alias("cell_idx"), F.when(inside, 0).otherwise(1).alias("rule"), F.when(inside, F.col("b.cell_idx").cast("double")).otherwise(distance).alias("cost"))
-    return ranked.groupBy(*keys, "word_idx").agg(F.min(F.struct("table_idx", "rule", "cost", "cell_idx")).alias("m")).select(*keys, "word_idx", "m.table_idx", "m.cell_idx")
+    pages = cells.groupBy(*keys).agg(F.collect_list(F.struct("table_idx", "cell_idx", "x0", "y0", "x1", "y1", "reach", "tx0", "ty0", "tx1", "ty1")).alias("_cells"))
+    cx, cy = (F.col("x0") + F.col("x1")) / 2, (F.col("y0") + F.col("y1")) / 2
+
+    def claim(c: Column) -> Column:
+        inside = (cx >= c["x0"]) & (cx < c["x1"]) & (cy >= c["y0"]) & (cy < c["y1"])
+        dx, dy = cx - (c["x0"] + c["x1"]) / 2, cy - (c["y0"] + c["y1"]) / 2
+        distance = F.sqrt(dx * dx + dy * dy)
+        near = (cx >= c["tx0"]) & (cx <= c["tx1"]) & (cy >= c["ty0"]) & (cy <= c["ty1"])
+        cost = F.when(inside, c["cell_idx"].cast("double")).otherwise(distance)
+        return F.when(near & (inside | (distance <= c["reach"])), F.struct(c["table_idx"].alias("table_idx"), F.when(inside, 0).otherwise(1).alias("rule"), cost.alias("cost"), c["cell_idx"].alias("cell_idx")))
+
+    best = words.join(pages, keys).withColumn("_m", F.array_min(F.transform("_cells", claim))).filter("_m is not null")
+    return best.select(*words.columns, F.col("_m.table_idx").alias("table_idx"), F.col("_m.cell_idx").alias("cell_idx"))
+
+
+def cell_text(placed: DataFrame, keys: list[str]) -> DataFrame:
+    """``value, confidence_pct, n_words`` of each cell: its words in rows from top to bottom, in a row from left to right.
+
+    By their centres from the top a word joins the row if it lies less than half
+    the median height of the cell's words below the mean centre of the row.
+    """
+    word = F.struct((F.col("y0") + F.col("y1")).alias("c"), (F.col("x0") + F.col("x1")).alias("x"), "word_idx", "value")
+    grouped = placed.groupBy(*keys, "table_idx", "cell_idx").agg(F.sort_array(F.collect_list(word)).alias("w"), F.percentile(F.col("y1") - F.col("y0"), F.lit(0.5)).alias("height"), (F.sum("confidence_pct") / F.count(F.lit(1))).alias("confidence_pct"), F.count(F.lit(1)).alias("n_words"))
+    height = F.when(F.col("height") > 0, F.col("height")).otherwise(1.0)
+    row = "struct<row:bigint,x:bigint,word_idx:bigint,value:string>"
+    start = F.struct(*(F.lit(0).cast("long").alias(c) for c in ("row", "n", "total")), F.array().cast(f"array<{row}>").alias("out"))
+
+    def step(s: Column, x: Column) -> Column:
+        joins = (s["n"] > 0) & (x["c"] * s["n"] - s["total"] < height * s["n"])
+        number = F.when(joins | (s["n"] == 0), s["row"]).otherwise(s["row"] + 1)
+        placed_ = F.struct(number.alias("row"), x["x"].alias("x"), x["word_idx"].alias("word_idx"), x["value"].alias("value"))
+        return F.struct(number.alias("row"), F.when(joins, s["n"] + 1).otherwise(F.lit(1).cast("long")).alias("n"), F.when(joins, s["total"] + x["c"]).otherwise(x["c"]).alias("total"), F.concat(s["out"], F.array(placed_)).alias("out"))
+
+    ordered = F.array_sort(F.aggregate("w", start, step, lambda s: s["out"]))
+    return grouped.select(*keys, "table_idx", "cell_idx", F.array_join(F.transform(ordered, lambda x: x["value"]), " ").alias("value"), "confidence_pct", "n_words")
+
+
+def polygon_ious(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """IoU of n pairs of convex quads at once (n x 4 x 2); 0 for an empty union.
+
+    The vertices of an intersection are those of each inside the other and the
+    crossings of their edges; sorted about their mean they give its area.
+    """
+    a, b = np.asarray(a, float), np.asarray(b, float)
+    cross = lambda u, v: u[..., 0] * v[..., 1] - u[..., 1] * v[..., 0]
+    area = lambda p: cross(p, np.roll(p, -1, axis=1)).sum(axis=1) / 2
+    size_a, size_b = area(a), area(b)
+
+    def inside(p: np.ndarray, q: np.ndarray, turn: np.ndarray) -> np.ndarray:
+        edge = np.roll(q, -1, axis=1) - q
+        return (cross(edge[:, None], p[:, :, None] - q[:, None]) * turn[:, None, None] >= -1e-12).all(axis=2)
+
+    ea, eb = np.roll(a, -1, axis=1) - a, np.roll(b, -1, axis=1) - b
+    denominator = cross(ea[:, :, None], eb[:, None])
+    between = b[:, None] - a[:, :, None]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        t, u = cross(between, eb[:, None]) / denominator, cross(between, ea[:, :, None]) / denominator
+        meet = a[:, :, None] + t[..., None] * ea[:, :, None]
+    good = (np.abs(denominator) > 1e-15) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1)
+    points = np.concatenate([a, b, meet.reshape(len(a), -1, 2)], axis=1)
+    valid = np.concatenate([inside(a, b, np.sign(size_b)), inside(b, a, np.sign(size_a)), good.reshape(len(a), -1)], axis=1)
+    points = np.where(valid[..., None], points, 0)
+    middle = points.sum(axis=1) / np.maximum(valid.sum(axis=1), 1)[:, None]
+    d = points - middle[:, None]
+    order = np.argsort(np.where(valid, np.arctan2(d[..., 1], d[..., 0]), np.inf), axis=1)
+    ring, on = np.take_along_axis(d, order[..., None], axis=1), np.take_along_axis(valid, order, axis=1)
+    ring = np.where(on[..., None], ring, ring[:, :1])  # what is no vertex repeats the first
+    shared = np.where(valid.sum(axis=1) >= 3, np.abs(area(ring)), 0)
+    union = np.abs(size_a) + np.abs(size_b) - shared
+    return np.divide(shared, union, out=np.zeros(len(a)), where=union > 0)
 
 
 def polygon_iou_column() -> object:
     @F.pandas_udf("double")
     def run(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([polygon_iou(np.reshape(x, (-1, 2)), np.reshape(y, (-1, 2))) for x, y in zip(a, b)])
+        quads = lambda s: np.stack([np.stack(x) for x in s]).reshape(len(s), 4, 2)
+        return pd.Series(polygon_ious(quads(a), quads(b)) if len(a) else [])
 
     return run
 

@@ -23,33 +23,41 @@ def sorted_boxes(words: DataFrame, keys: list[str] = PAGE) -> DataFrame:
 
 
 def resolve_rows(words: DataFrame, keys: list[str] = PAGE, size: tuple[int, int] = (800, 1000)) -> DataFrame:
-    """``row_idx`` of every word.
+    """Adds ``row_idx`` to every word.
 
     In the order of the sort key, a word joins the current row if its centre is
     nearer to the mean centre of the row than half the median height; rows
-    passed are never looked at again.  Coordinates are integers, so that the
-    means are compared exactly: twice a centre is y0 + y1.
+    passed are never looked at again, so a row is a stretch of that order.  The
+    fold keeps only where rows start, and the words travel with it: one shuffle
+    by page, no join back.  Coordinates are integers, so that the means are
+    compared exactly: twice a centre is y0 + y1.  A page is one row of the
+    shuffle, as in every operator that needs a page's words in order.
     """
     w, h = size
-    sizes = words.groupBy(*keys).agg(F.percentile(F.col("y1") - F.col("y0"), F.lit(0.5)).alias("height"), F.sort_array(F.collect_list(F.struct((F.col("y1") * 1).alias("y1"), F.col("x0"), F.col("word_idx"), (F.col("y0") + F.col("y1")).alias("c")))).alias("w"))
-    key = F.transform("w", lambda x: F.struct((x["x0"] / w + 2 * (x["y1"] / h) / (F.col("height") / h)).alias("k"), x["word_idx"].alias("word_idx"), x["c"].alias("c")))
-    start = F.struct(F.lit(0).cast("long").alias("row"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("total"), F.array().cast("array<struct<word_idx:bigint,row_idx:bigint>>").alias("out"))
+    rest = [c for c in words.columns if c not in keys]
+    pages = words.groupBy(*keys).agg(F.percentile(F.col("y1") - F.col("y0"), F.lit(0.5)).alias("height"), F.collect_list(F.struct(*rest)).alias("w"))
+    key = lambda x: F.struct((x["x0"] / w + 2 * (x["y1"] / h) / (F.col("height") / h)).alias("k"), x["word_idx"].alias("i"), x.alias("w"))
+    pages = pages.select(*keys, "height", F.array_sort(F.transform("w", key)).alias("w"))
+    start = F.struct(*(F.lit(0).cast("long").alias(c) for c in ("at", "n", "total")), F.array().cast("array<int>").alias("starts"))
 
     def step(s, x):
-        joins = (s["n"] > 0) & (F.abs(x["c"] * s["n"] - s["total"]) < F.col("height") * s["n"])
-        row = F.when(joins | (s["n"] == 0), s["row"]).otherwise(s["row"] + 1)
-        return F.struct(row.alias("row"), F.when(joins, s["n"] + 1).otherwise(F.lit(1).cast("long")).alias("n"), F.when(joins, s["total"] + x["c"]).otherwise(x["c"]).alias("total"), F.concat(s["out"], F.array(F.struct(x["word_idx"].alias("word_idx"), row.alias("row_idx")))).alias("out"))
+        c = x["w"]["y0"] + x["w"]["y1"]
+        joins = (s["n"] > 0) & (F.abs(c * s["n"] - s["total"]) < F.col("height") * s["n"])
+        here = (s["at"] + 1).cast("int")
+        return F.struct((s["at"] + 1).alias("at"), F.when(joins, s["n"] + 1).otherwise(F.lit(1).cast("long")).alias("n"), F.when(joins, s["total"] + c).otherwise(c).alias("total"), F.when(joins, s["starts"]).otherwise(F.concat(s["starts"], F.array(here))).alias("starts"))
 
-    folded = sizes.select(*keys, F.aggregate(F.array_sort(key), start, step, lambda s: s["out"]).alias("out"))
-    return folded.select(*keys, F.explode("out").alias("o")).select(*keys, "o.word_idx", "o.row_idx")
+    folded = pages.select(*keys, "w", F.aggregate("w", start, step, lambda s: s["starts"]).alias("starts"))
+    ends = F.concat(F.slice("starts", 2, F.size("starts")), F.array(F.size("w") + 1))
+    rows = F.zip_with("starts", ends, lambda a, b: F.slice("w", a, b - a))
+    rows = folded.select(*keys, F.posexplode(rows).alias("row_idx", "r")).select(*keys, F.col("row_idx").cast("long").alias("row_idx"), F.explode("r").alias("r"))
+    return rows.select(*keys, *(F.col(f"r.w.{c}").alias(c) for c in rest), "row_idx")
 
 
 def resolve_lines(words: DataFrame, keys: list[str] = PAGE, break_px: int = 28) -> DataFrame:
     """``line_idx`` of every word: rows split where the gap to the word before is ``break_px`` or more."""
-    rows = words.join(resolve_rows(words, keys), [*keys, "word_idx"])
     in_row = Window.partitionBy(*keys, "row_idx").orderBy("x0", "word_idx")
     gap = F.col("x0") - F.lag("x1").over(in_row)
-    breaks = rows.withColumn("starts", F.when(gap.isNull() | (gap >= break_px), 1).otherwise(0))
+    breaks = resolve_rows(words, keys).withColumn("starts", F.when(gap.isNull() | (gap >= break_px), 1).otherwise(0))
     line = F.sum("starts").over(Window.partitionBy(*keys).orderBy("row_idx", "x0", "word_idx"))
     return breaks.withColumn("line_idx", line.cast("long") - 1).drop("starts")
 
@@ -91,5 +99,3 @@ def resolve_blocks(lines: DataFrame, keys: list[str] = PAGE, size: tuple[int, in
 
     types = ", ".join(f"{k} {lines.schema[k].dataType.simpleString()}" for k in [*keys, "line_idx"])
     return lines.select(*keys, "line_idx", "x0", "y0", "x1", "y1").groupBy(*keys).applyInPandas(page, f"{types}, block_idx long")
-
-

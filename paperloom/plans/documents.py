@@ -35,7 +35,7 @@ PAIRS = """,
 j AS (SELECT w.doc_id, w.page_idx, w.word_idx AS a, p.word_idx AS b, w.value AS truth, p.value AS predicted,
   (least(w.x1, p.x1) - greatest(w.x0, p.x0)) * (least(w.y1, p.y1) - greatest(w.y0, p.y0)) AS shared,
   (w.x1 - w.x0) * (w.y1 - w.y0) + (p.x1 - p.x0) * (p.y1 - p.y0) AS areas
-  FROM w JOIN p ON w.doc_id = p.doc_id AND w.page_idx = p.page_idx AND w.x0 < p.x1 AND p.x0 < w.x1 AND w.y0 < p.y1 AND p.y0 < w.y1),
+  FROM w JOIN p ON w.doc_id = p.doc_id AND w.page_idx = p.page_idx AND w.y0 // 25 = p.y0 // 25 AND w.x0 < p.x1 AND p.x0 < w.x1 AND w.y0 < p.y1 AND p.y0 < w.y1),
 i AS (SELECT *, CAST(shared AS DOUBLE) / (areas - shared) AS iou FROM j)"""
 REGIONS = """,
 r AS (SELECT doc_id, page_idx, CAST(region_idx AS BIGINT) AS region_idx, type, x0, y0, x1, y1 FROM (SELECT DISTINCT doc_id, page_idx FROM w) CROSS JOIN
@@ -102,7 +102,7 @@ def resolve_lines(spark, d):
 
 @query("SELECT doc_id, page_idx, word_idx, row_idx FROM rw", WORDS, ROWS)
 def resolve_rows(spark, d):
-    return L.resolve_rows(words(spark, d))
+    return L.resolve_rows(words(spark, d)).select(*PAGE, "word_idx", "row_idx")
 
 
 @query("SELECT doc_id, page_idx, word_idx, line_idx FROM ln", WORDS, LINES)
@@ -232,10 +232,20 @@ ca AS (SELECT m.doc_id, m.page_idx, m.word_idx, g.table_idx, g.cell_idx, (cx >=
 cw AS (SELECT doc_id, page_idx, word_idx, min({'t': table_idx, 'r': CASE WHEN ins THEN 0 ELSE 1 END, 'c': CASE WHEN ins THEN cell_idx::DOUBLE ELSE dist END, 'i': cell_idx}) AS b FROM ca WHERE ins OR dist <= sqrt(200.0::DOUBLE * 200 + 25.0::DOUBLE * 25) / 2 GROUP BY ALL)"""
 
 
+#: Words of a cell in rows: an ordered fold by centre, then each row from left to right.
+FILLED = """,
+cl AS (SELECT cw.doc_id, cw.page_idx, cw.b.i AS cell_idx, list_sort(list({'c': w.y0 + w.y1, 'x': w.x0 + w.x1, 'i': w.word_idx, 'v': w.value})) AS l, median(w.y1 - w.y0) AS height, avg(w.confidence_pct)::DOUBLE AS confidence_pct
+  FROM cw JOIN w USING (doc_id, page_idx, word_idx) GROUP BY ALL),
+cf AS (SELECT doc_id, page_idx, cell_idx, confidence_pct, height, list_reduce(list_transform(l, lambda e: {'row': 0::BIGINT, 'n': 1::BIGINT, 't': e.c, 'out': [{'r': 0::BIGINT, 'x': e.x, 'i': e.i, 'v': e.v}]}), lambda a, e:
+  CASE WHEN e.t * a.n - a.t < 18 * a.n THEN {'row': a.row, 'n': a.n + 1, 't': a.t + e.t, 'out': list_append(a.out, {'r': a.row, 'x': e.out[1].x, 'i': e.out[1].i, 'v': e.out[1].v})}
+  ELSE {'row': a.row + 1, 'n': 1::BIGINT, 't': e.t, 'out': list_append(a.out, {'r': a.row + 1, 'x': e.out[1].x, 'i': e.out[1].i, 'v': e.out[1].v})} END).out AS out FROM cl),
+tc AS (SELECT g.doc_id, g.page_idx, g.cell_idx, g.row_start, g.col_start, coalesce(array_to_string(list_transform(list_sort(out), lambda e: e.v), ' '), '') AS value, confidence_pct FROM g LEFT JOIN cf USING (doc_id, page_idx, cell_idx))"""
+
+
 @query("SELECT doc_id, page_idx, word_idx, b.t AS table_idx, b.i AS cell_idx FROM cw", WORDS, CELLS, CONTAINED)
 def point_in_cell(spark, d):
     w = words(spark, d)
-    return B.containing_cells(w, cells(w), PAGE)
+    return B.containing_cells(w, cells(w), PAGE).select(*PAGE, "word_idx", "table_idx", "cell_idx")
 
 
 @query("SELECT doc_id, page_idx, word_idx FROM w ANTI JOIN cw USING (doc_id, page_idx, word_idx)", WORDS, CELLS, CONTAINED)
@@ -244,27 +254,24 @@ def consumed_words_anti(spark, d):
     return w.join(B.containing_cells(w, cells(w), PAGE), [*PAGE, "word_idx"], "left_anti").select(*PAGE, "word_idx")
 
 
-@query("SELECT g.doc_id, g.page_idx, g.cell_idx, coalesce(string_agg(m.value, ' ' ORDER BY m.x0, m.word_idx), '') AS value, avg(m.confidence_pct)::DOUBLE AS confidence_pct FROM g LEFT JOIN cw ON g.doc_id = cw.doc_id AND g.page_idx = cw.page_idx AND g.cell_idx = cw.b.i LEFT JOIN m ON cw.doc_id = m.doc_id AND cw.page_idx = m.page_idx AND cw.word_idx = m.word_idx GROUP BY ALL", WORDS, CELLS, CONTAINED)
+@query("SELECT doc_id, page_idx, cell_idx, value, confidence_pct FROM tc", WORDS, CELLS, CONTAINED, FILLED)
 def table_cells_filled(spark, d):
-    w = words(spark, d)
-    g = cells(w)
-    placed = B.containing_cells(w, g, PAGE).join(w, [*PAGE, "word_idx"])
-    text = placed.groupBy(*PAGE, "cell_idx").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("x0", "word_idx", "value"))), lambda s: s["value"]), " ").alias("value"), (F.sum("confidence_pct") / F.count(F.lit(1))).alias("confidence_pct"))
-    return g.select(*PAGE, "cell_idx").join(text, [*PAGE, "cell_idx"], "left").select(*PAGE, "cell_idx", F.coalesce("value", F.lit("")).alias("value"), "confidence_pct")
+    return filled_grid(spark, d).select(*PAGE, "cell_idx", "value", "confidence_pct")
 
 
 def filled_grid(spark, d) -> DataFrame:
     w = words(spark, d)
     g = cells(w)
-    return g.select(*PAGE, "cell_idx", "row_start", F.col("row_start").alias("row_end"), "col_start", F.col("col_start").alias("col_end")).join(table_cells_filled(spark, d), [*PAGE, "cell_idx"])
+    text = B.cell_text(B.containing_cells(w, g, PAGE), PAGE).drop("n_words")
+    grid = g.select(*PAGE, "table_idx", "cell_idx", "row_start", F.col("row_start").alias("row_end"), "col_start", F.col("col_start").alias("col_end"))
+    return grid.join(text, [*PAGE, "table_idx", "cell_idx"], "left").withColumn("value", F.coalesce("value", F.lit("")))
 
 
 GRID = """,
-tc AS (SELECT g.doc_id, g.page_idx, g.row_start, g.col_start, coalesce(string_agg(m.value, ' ' ORDER BY m.x0, m.word_idx), '') AS value FROM g LEFT JOIN cw ON g.doc_id = cw.doc_id AND g.page_idx = cw.page_idx AND g.cell_idx = cw.b.i LEFT JOIN m ON cw.doc_id = m.doc_id AND cw.page_idx = m.page_idx AND cw.word_idx = m.word_idx GROUP BY ALL),
 tr AS (SELECT doc_id, page_idx, row_start, string_agg(value, chr(9) ORDER BY col_start) AS line FROM tc GROUP BY ALL)"""
 
 
-@query("SELECT doc_id, page_idx, string_agg(line, chr(10) ORDER BY row_start) AS text FROM tr GROUP BY ALL", WORDS, CELLS, CONTAINED, GRID)
+@query("SELECT doc_id, page_idx, string_agg(line, chr(10) ORDER BY row_start) AS text FROM tr GROUP BY ALL", WORDS, CELLS, CONTAINED, FILLED, GRID)
 def table_grid_text(spark, d):
     return E.table_text(E.grid_rows(filled_grid(spark, d), PAGE), PAGE)
 
