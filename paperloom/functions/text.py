@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import unicodedata
 
 import pandas as pd
@@ -15,7 +16,10 @@ ACCENTED = "".join(c for c in map(chr, range(0xC0, 0x180)) if len(unicodedata.no
 PLAIN = "".join(unicodedata.normalize("NFD", c)[0] for c in ACCENTED)
 #: Layout roles (fixed values).
 ROLES = {"header": ["page_header", "header"], "footer": ["page_footer", "footer"], "footnote": ["footnote"], "caption": ["caption"], "float": ["table", "picture", "figure", "formula", "chart"]}
-MARKDOWN = r"([\\`*_{}\[\]<>|])"
+#: Characters and line starts that mean something in a format (fixed values).
+MARKDOWN, MARKDOWN_LINE = r"([\\`*_\[\]|#<>])", r"^\s*(?:[-+>#=`]|[\p{Nd}²³¹⁰⁴-⁹₀-₉]+\.*(?: |$))"
+ASCIIDOC, ASCIIDOC_LINE = r"([\\`*_#^~|+{}<>])", r"^\s*[=*.\-/+]"
+RTL_LETTERS = r"[\p{IsHebrew}\p{IsArabic}\p{IsSyriac}\p{IsThaana}\p{IsNko}&&\p{L}]"
 RTL_LANGUAGES = ["ar", "fa", "he", "ur", "yi"]
 
 
@@ -76,12 +80,16 @@ def markdown_escaped(s: Column) -> Column:
 
 
 def markdown_line(s: Column) -> Column:
-    """A line that would begin like a marker or a numbered item gets a backslash."""
-    return F.when(s.rlike(r"^(?:[#+-]|\d+[.)]?(?:\s|$))"), F.concat(F.lit("\\"), s)).otherwise(s)
+    """A line that would begin like a marker or a numbered item gets a backslash, if it has none."""
+    return F.when(s.rlike(MARKDOWN_LINE), F.concat(F.lit("\\"), s)).otherwise(s)
+
+
+def asciidoc_escaped(s: Column) -> Column:
+    return F.regexp_replace(s, ASCIIDOC, r"\\$1")
 
 
 def asciidoc_line(s: Column) -> Column:
-    return F.when(s.rlike(r"^[=*.\-|]"), F.concat(F.lit("{empty}"), s)).otherwise(s)
+    return F.when(s.rlike(ASCIIDOC_LINE), F.concat(F.lit("{empty}"), s)).otherwise(s)
 
 
 def html_escaped(s: Column) -> Column:
@@ -161,32 +169,24 @@ def merged(parts: pd.Series, overlap: pd.Series, last_overlap: pd.Series) -> pd.
     return pd.Series([None if p is None else merge_all(list(p), o, x) for p, o, x in zip(parts, overlap, last_overlap)])
 
 
-@F.pandas_udf(T.StringType())
-def text_direction(text: pd.Series, language: pd.Series) -> pd.Series:
+def text_direction(text: Column, language: Column) -> Column:
     """rtl or ltr by strong letters; a tie follows the language."""
+    plain = F.coalesce(text, F.lit(""))
+    right, letters = F.regexp_count(plain, F.lit(RTL_LETTERS)), F.regexp_count(plain, F.lit(r"\p{L}"))
+    left = letters - right
+    return F.when((right > left) | ((right == left) & F.coalesce(language.isin(RTL_LANGUAGES), F.lit(False))), "rtl").otherwise("ltr")
 
-    def one(t: str | None, lang: str | None) -> str:
-        kinds = [unicodedata.bidirectional(c) for c in t or ""]
-        right, left = sum(k in ("R", "AL") for k in kinds), kinds.count("L")
-        return "rtl" if right > left or (right == left and (lang or "") in RTL_LANGUAGES) else "ltr"
 
-    return pd.Series([one(t, x) for t, x in zip(text, language)])
+def to_vocabulary(text: Column, vocab: str) -> Column:
+    """Characters of the vocabulary, accented ones as their plain letter if that is in it, the rest marked; blanks go."""
+    pairs = [(a, p) for a, p in zip(*accents()) if a not in vocab and p in vocab]
+    inside = "".join("\\" + c if not c.isalnum() and c.isascii() else c for c in vocab)
+    plain = F.translate(F.regexp_replace(text, r"(?U)\s", ""), "".join(a for a, _ in pairs), "".join(p for _, p in pairs))
+    return F.regexp_replace(plain, f"[^{inside}]", "■")
 
 
-@F.pandas_udf(T.StringType())
-def to_vocabulary(text: pd.Series, vocab: pd.Series) -> pd.Series:
-    """Characters of the vocabulary, others decomposed to ASCII, the rest marked; blanks go."""
-
-    def one(t: str | None, v: str) -> str | None:
-        if t is None:
-            return None
-        out = []
-        for c in t:
-            if c in v:
-                out.append(c)
-            elif not c.isspace():
-                plain = unicodedata.normalize("NFD", c).encode("ascii", "ignore").decode()
-                out.append(plain if plain and all(p in v for p in plain) else "■")
-        return "".join(out)
-
-    return pd.Series([one(t, v) for t, v in zip(text, vocab)])
+@functools.cache
+def accents() -> tuple[str, str]:
+    """All characters that decompose to an ASCII letter and marks, and those letters."""
+    found = [(c, d[0]) for c in map(chr, range(0xC0, 0x2C00)) if (d := unicodedata.normalize("NFD", c)) != c and d[0].isascii() and all(map(unicodedata.combining, d[1:]))]
+    return "".join(a for a, _ in found), "".join(b for _, b in found)

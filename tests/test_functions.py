@@ -62,7 +62,7 @@ def test_vocabulary(spark):
     assert value(spark, X.padded(F.array(F.lit(1), F.lit(2)), 5, 9, 8, 7)) == [7, 1, 2, 9, 8]
     with pytest.raises(Exception, match="outside"):
         value(spark, X.encoded(F.lit("xyz"), "abcd"))
-    assert value(spark, X.to_vocabulary(F.lit("é 漢a"), F.lit("abce"))) == "e■a"
+    assert value(spark, X.to_vocabulary(F.lit("é 漢a"), "abce")) == "e■a"
     assert [value(spark, X.text_direction(F.lit(t), F.lit(x))) for t, x in (("مرحبا abc", None), ("123", "ar"), ("", None), ("hello", "ar"))] == ["rtl", "rtl", "ltr", "ltr"]
 
 

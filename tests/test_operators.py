@@ -45,6 +45,33 @@ def test_iou_and_assignment(a, b):
     assert abs(sum(gain[i, j] for i, j in M.best_pairs(gain)) - best) < 1e-9
 
 
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.tuples(*[st.integers(0, 12)] * 4, st.integers(0, 3)), min_size=1, max_size=25), st.sampled_from([0.1, 0.3, 0.5]))
+def test_suppression_is_greedy(raw, threshold):
+    """Rounds of winners keep what the plain loop keeps."""
+    boxes = np.array([(x, y, x + w, y + h) for x, y, w, h, _ in raw], float)
+    score, index = np.array([r[4] for r in raw], float), np.arange(len(raw))
+    kept = []
+    for i in sorted(index, key=lambda i: (-score[i], -i)):
+        size = lambda k: (boxes[k, 2] - boxes[k, 0]) * (boxes[k, 3] - boxes[k, 1])
+        if all(B.iou_matrix(boxes[[k]], boxes[[i]])[0, 0] <= threshold and (size(k) > 0 or size(i) > 0) for k in kept):
+            kept.append(i)
+    assert sorted(B.kept_boxes(boxes, score, index, threshold).tolist()) == sorted(kept)
+
+
+def test_polygon_batches():
+    """All pairs at once give what clipping gives pair by pair."""
+    rng = np.random.default_rng(5)
+    c, s, angle = rng.random((300, 1, 2)), rng.random((300, 1, 2)) + 0.1, rng.random(300) * 3
+    corner = np.array([(-1, -1), (1, -1), (1, 1), (-1, 1)]) / 2
+    turn = np.stack([np.stack([np.cos(angle), -np.sin(angle)], 1), np.stack([np.sin(angle), np.cos(angle)], 1)], 1)
+    quads = np.einsum("nij,nkj->nki", turn, corner * s) + c
+    a, b = quads[:150], np.concatenate([quads[150:250], quads[100:150]])
+    b[140:] = a[140:]
+    a[::7] = a[::7, ::-1]
+    assert np.allclose(B.polygon_ious(a, b), [B.polygon_iou(x, y) for x, y in zip(a, b)], atol=1e-6)
+
+
 def test_polygons():
     unit = [(0, 0), (1, 0), (1, 1), (0, 1)]
     assert abs(B.polygon_iou(unit, [(0.5, 0), (1.5, 0), (1.5, 1), (0.5, 1)]) - 1 / 3) < 1e-9
@@ -115,25 +142,65 @@ def test_rows_and_blocks(spark):
     assert L.line_table(L.resolve_lines(w.limit(0))).collect() == []
 
 
+ITEMS = "doc_id long, page_idx long, position long, label string, lines array<string>, table string"
+KEYS = ["doc_id", "page_idx"]
+
+
+def test_cell_rows(spark):
+    """Two lines in a cell do not interleave; a word in no cell is left out, one near goes to the nearest."""
+    w = spark.createDataFrame([(1, 0, i, v, x, y, x + 40, y + 10, c) for i, (v, x, y, c) in enumerate([("second", 0, 22, 80), ("line", 50, 20, 90), ("first", 0, 0, 70), ("row", 50, 3, 60), ("far", 900, 900, 50), ("near", 85, 50, 40)])], "doc_id long, page_idx long, word_idx long, value string, x0 long, y0 long, x1 long, y1 long, confidence_pct long")
+    g = spark.createDataFrame([(1, 0, 0, 0, 0, 0, 100, 40), (1, 0, 0, 1, 0, 60, 200, 100)], "doc_id long, page_idx long, table_idx long, cell_idx long, x0 long, y0 long, x1 long, y1 long")
+    got = {r.cell_idx: (r.value, r.confidence_pct, r.n_words) for r in B.cell_text(B.containing_cells(w, g, KEYS), KEYS).collect()}
+    assert got == {0: ("first row second line", 75.0, 4), 1: ("near", 40.0, 1)}
+    assert B.containing_cells(w, g.limit(0), KEYS).collect() == [] and B.cell_text(B.containing_cells(w.limit(0), g, KEYS), KEYS).collect() == []
+
+
 def test_exports(spark):
-    items = spark.createDataFrame([(1, 0, 0, "title", "A*B"), (1, 0, 1, "list", "x"), (1, 0, 2, "list", "1. y"), (1, 0, 3, "text", "a<b"), (1, 0, 4, "footer", "9"), (1, 0, 5, "text", " ")], "doc_id long, page_idx long, position long, kind string, text string")
-    keys = ["doc_id", "page_idx"]
-    text = lambda f, **k: E.page_text(items, keys, f, **k).first().text
-    assert text("txt", furniture=False) == "A*B\n\nx\n1. y\n\na<b"
-    assert text(" MD ", furniture=False) == "# A\\*B\n\n- x\n- \\1. y\n\na\\<b"
-    assert text("adoc", furniture=False) == "== A*B\n\n* x\n* 1. y\n\na<b"
-    assert text("html") == "<h1>A*B</h1>\n<li>x</li>\n<li>1. y</li>\n<p>a&lt;b</p>\n<p>9</p>"
+    items = spark.createDataFrame(
+        [(1, 0, 0, "Title", ["A*B", " ", "C"], None), (1, 0, 1, "List-item", ["x", "y"], None), (1, 0, 2, "list item", ["1. y"], None), (1, 0, 3, "Text", ["a<b", "- {c}"], None), (1, 0, 4, "Footnote", ["9"], None), (1, 0, 5, "Text", [" "], None), (1, 0, 6, None, None, None), (1, 0, 7, "Table", None, "T"), (1, 0, 8, "Table", None, "")], ITEMS
+    )
+    text = lambda f, **k: E.page_text(items, KEYS, f, **k).first().text
+    assert text("txt", furniture=False) == "A*B\nC\n\nx y\n1. y\n\na<b\n- {c}\n\nT"
+    assert text(" MD ") == "# A\\*B C\n\n- x y\n- \\1. y\n\na\\<b\n\\- {c}\n\n\\9\n\nT"
+    assert text("md", escape=False, furniture=False, block_break="|") == "# A*B C|- x y\n- 1. y|a<b\n- {c}|T"
+    assert text("adoc", furniture=False) == "== A\\*B C\n\n* x y\n* 1. y\n\na\\<b\n{empty}- \\{c\\}\n\nT"
+    assert text("html") == "<h1>A*B C</h1>\n<ul>\n<li>x y</li>\n<li>1. y</li>\n</ul>\n<p>a&lt;b<br>\n- {c}</p>\n<p>9</p>\nT"
     with pytest.raises(ValueError, match="known are"):
         E.format_name("pdf")
-    pages = E.page_text(items, keys).union(E.page_text(items.withColumn("page_idx", F.lit(1).cast("long")), keys))
-    assert E.document_text(pages, "doc_id", "page_idx").first().text.count("\n\n\n\n") == 1
-    cells = spark.createDataFrame([(1, 0, 0, 0, 0, 1, "h"), (1, 1, 1, 1, 0, 0, "a"), (1, 2, 1, 1, 1, 1, None), (1, 3, 1, 1, 0, 0, "b")], "t long, cell_idx long, row_start int, row_end int, col_start int, col_end int, value string")
+    both = items.union(items.withColumn("page_idx", F.lit(1).cast("long")))
+    for form, gap in (("text", "\n\n\n\n"), ("md", "\n\n---\n\n"), ("adoc", "\n\n<<<\n\n"), ("html", "\n<hr>\n")):
+        one, two = E.export_as(form, KEYS, items).first().text, E.documents_as(form, E.export_as(form, KEYS, both), "doc_id", "page_idx").first().text
+        assert two == one + gap + one
+    cells = spark.createDataFrame([(1, 0, 0, 0, 0, 1, "h|"), (1, 1, 1, 1, 0, 0, "a"), (1, 2, 1, 1, 1, 1, None), (1, 3, 1, 1, 0, 0, "b\nc ")], "t long, cell_idx long, row_start int, row_end int, col_start int, col_end int, value string")
     rows = E.grid_rows(cells, ["t"])
-    assert E.table_text(rows, ["t"]).first().text == "h\t\nb\t"
-    assert E.table_text(rows, ["t"], "md").first().text == "| h |  |\n| --- | --- |\n| b |  |"
-    words = spark.createDataFrame([(1, 0, 0, 0, "a&b", 1, 2, 3, 4, 90)], "doc_id long, page_idx long, line_idx long, word_idx long, value string, x0 long, y0 long, x1 long, y1 long, confidence_pct long")
-    assert 'bbox 1 2 3 4; x_wconf 90">a&amp;b<' in E.page_hocr(words, keys).first().hocr
-    assert json.loads(E.page_json(words, keys).first().json)["lines"][0]["words"][0]["value"] == "a&b"
+    assert E.table_text(rows.filter("row_idx = 0"), ["t"]).first().text == "h|\t"
+    assert E.table_text(rows, ["t"], "md").first().text == "| h\\| |  |\n| --- | --- |\n| b c |  |"
+    assert E.table_text(rows, ["t"], "adoc").first().text == "|===\n|h\\| |\n\n|b c |\n|==="
+    assert E.table_text(rows, ["t"], "html").first().text == "<table>\n<tr><th>h|</th><th></th></tr>\n<tr><td>b\nc</td><td></td></tr>\n</table>"
+
+
+@pytest.mark.parametrize("line, markdown", [("#x", "\\#x"), ("+ x", "\\+ x"), ("= x", "\\= x"), ("12. x", "\\12. x"), ("12", "\\12"), ("1) x", "1) x"), ("1.5 x", "1.5 x"), ("  - x", "\\  - x"), ("`x`", "\\`x\\`"), ("{x}", "{x}"), ("x", "x")])
+def test_markdown_lines(spark, line, markdown):
+    df = spark.createDataFrame([(1, 0, 0, "Text", [line], None)], ITEMS)
+    assert E.page_text(df, KEYS, "md").first().text == markdown
+
+
+def test_hocr(spark):
+    """Well-formed, numbered through the page, boxes in pixels."""
+    from xml.etree import ElementTree
+
+    words = spark.createDataFrame([(1, 0, b, li, k, v, 0.1 * k, 0.1 * li, 0.1 * k + 0.05, 0.1 * li + 0.02, 0.905, "fr") for k, (b, li, v) in enumerate([(0, 0, "a&b"), (0, 0, "c"), (0, 1, "d"), (1, 2, "<e>")])], "doc_id long, page_idx long, block_idx long, line_idx long, word_idx long, value string, x0 double, y0 double, x1 double, y1 double, confidence double, language string")
+    root = ElementTree.fromstring(E.export_as("hocr", KEYS, words=words, width=200, height=100).first().hocr)
+    ns = "{http://www.w3.org/1999/xhtml}"
+    found = [(x.get("class"), x.get("id")) for x in root.iter() if x.get("id")]
+    assert found == [("ocr_page", "page_1"), ("ocr_carea", "block_1"), ("ocr_par", "par_1"), ("ocr_line", "line_1"), ("ocrx_word", "word_1"), ("ocrx_word", "word_2"), ("ocr_line", "line_2"), ("ocrx_word", "word_3"), ("ocr_carea", "block_2"), ("ocr_par", "par_2"), ("ocr_line", "line_3"), ("ocrx_word", "word_4")]
+    spans = {x.get("id"): x for x in root.iter(ns + "span")}
+    assert spans["word_1"].text == "a&b" and spans["word_1"].get("title") == "bbox 0 0 10 2; x_wconf 90" and spans["line_1"].get("title") == "bbox 0 0 30 2; baseline 0 0; x_size 2; x_fsize 2; x_descenders 0; x_ascenders 0"
+    assert root.get("{http://www.w3.org/XML/1998/namespace}lang") == "fr"
+    cells = spark.createDataFrame([(1, 0, 0, 0, 1, "b", 0.5, 0.1, 0.6, 0.2, 0.5), (1, 0, 0, 0, 0, "a", 0.1, 0.1, 0.2, 0.2, 0.5), (1, 0, 0, 2, 0, None, 0.1, 0.3, 0.2, 0.4, 1.0)], "doc_id long, page_idx long, table_idx long, row_start int, col_start int, value string, x0 double, y0 double, x1 double, y1 double, confidence double")
+    t = ElementTree.fromstring(E.table_hocr(cells, KEYS, 100, 100).first().hocr)
+    assert [(x.get("id"), x.text) for x in t.iter("span")] == [("table_1_row_1", None), ("table_1_cell_1_1", "a"), ("table_1_cell_1_2", "b"), ("table_1_row_3", None), ("table_1_cell_3_1", None)]
+    assert json.loads(E.page_json(words, KEYS).first().json)["lines"][0]["words"][0]["value"] == "a&b"
 
 
 def test_predict(spark):
@@ -149,6 +216,10 @@ def test_queries_and_kie(spark):
     logits = spark.createDataFrame([(1, 0, [4.0, -4.0]), (1, 1, [0.0, 1.0])], "page long, query_idx long, logits array<double>")
     assert sorted((r.query_idx, r.class_idx) for r in B.top_queries(logits, ["page"], 3, 0.5).collect()) == [(0, 0), (1, 1)]
     p = spark.createDataFrame([(1, 0, "date", 1, "b"), (1, 0, "date", 0, "a"), (1, 1, "sum", 0, "9*")], "page long, class_idx long, class_name string, position long, value string")
-    assert E.kie_text(p, ["page"]).first().text == "date:\n\na\nb\n\nsum:\n\n9*"
-    assert E.kie_text(p, ["page"], "md").first().text == "## date\n\n- a\n- b\n\n## sum\n\n- 9\\*"
+    assert E.export_as("text", ["page"], predictions=p).first().text == "date:\n\na\nb\n\nsum:\n\n9*"
+    assert E.kie_text(p, ["page"], "md").first().text == "**date**\n\n- a\n- b\n\n**sum**\n\n- 9\\*"
+    assert E.kie_text(p, ["page"], "adoc").first().text == "*date*\n\n* a\n* b\n\n*sum*\n\n* 9\\*"
+    assert E.kie_text(p, ["page"], "html").first().text == "<h3>date</h3>\n<ul>\n<li>a</li>\n<li>b</li>\n</ul>\n<h3>sum</h3>\n<ul>\n<li>9*</li>\n</ul>"
+    boxed = p.withColumns({c: F.lit(v) for c, v in (("x0", 0.1), ("y0", 0.1), ("x1", 0.2), ("y1", 0.2), ("confidence", 0.5))})
+    assert E.export_as("xml", ["page"], predictions=boxed, page="page", width=10, height=10).first().hocr.count('class="ocr_carea" id="') == 3
     assert E.kie_lines(p, ["page"]).first().text == "date: a\n\ndate: b\n\nsum: 9*"
