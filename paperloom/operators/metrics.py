@@ -7,15 +7,21 @@ the assignment problems stay tiny.  Its results are counts, which Spark sums.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import match_levels
+from ..functions.text import folded, match_levels
+from ..session import checkpoint
 from .boxes import iou_matrix
 from .lines import components
 
+#: Cells by score in which detections are sorted.
+CELLS = 128
+
 
 def text_match(pairs: DataFrame, a: str = "truth", b: str = "predicted", by: list[str] | None = None) -> DataFrame:
     """Shares of equal texts at four levels; no row where there is no pair."""
@@ -68,9 +74,10 @@ def best_pairs(gain: np.ndarray) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out if gain[a, b] > 0]
 
 
-def page_matches(truth: DataFrame, predicted: DataFrame, keys: list[str], extra: list[str] | None = None, threshold: float = 0.5) -> DataFrame:
-    """Per page: ``n_truth, n_predicted, n_matched, sum_iou, n_equal`` (matched with equal ``extra``)."""
-    extra = extra or []
+def page_matches(truth: DataFrame, predicted: DataFrame, keys: list[str], equal: dict[str, Callable[[], Column]] | None = None, threshold: float = 0.5) -> DataFrame:
+    """Per page: ``n_truth, n_predicted, n_matched, sum_iou`` and, for each name of ``equal``, the matched pairs with equal values of its column."""
+    named = [(f"_{k}", f()) for k, f in (equal or {}).items()]
+    names = [n for n, _ in named]
     boxes = ["x0", "y0", "x1", "y1"]
 
     def page(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -78,20 +85,49 @@ def page_matches(truth: DataFrame, predicted: DataFrame, keys: list[str], extra:
         out = {k: [pdf[k].iloc[0]] for k in keys}
         gain = iou_matrix(a[boxes].to_numpy(float), b[boxes].to_numpy(float))
         hits = [(i, j) for i, j in best_pairs(gain) if gain[i, j] >= threshold]
-        equal = sum(all(a[c].iloc[i] == b[c].iloc[j] for c in extra) for i, j in hits)
+        i, j = np.array(hits, int).reshape(-1, 2).T
+        same = {f"n{c}": [int((a[c].to_numpy()[i] == b[c].to_numpy()[j]).sum())] for c in names}
         total = float(gain.max(axis=0).sum()) if gain.size else 0.0
-        return pd.DataFrame(out | {"n_truth": [len(a)], "n_predicted": [len(b)], "n_matched": [len(hits)], "sum_iou": [total], "n_equal": [equal]})
+        return pd.DataFrame(out | {"n_truth": [len(a)], "n_predicted": [len(b)], "n_matched": [len(hits)], "sum_iou": [total]} | same)
 
     types = ", ".join(f"{k} {truth.schema[k].dataType.simpleString()}" for k in keys)
-    pick = lambda d, t: d.select(*keys, *boxes, *extra, F.lit(t).alias("is_truth"))
+    pick = lambda d, t: d.select(*keys, *boxes, *(c.alias(n) for n, c in named), F.lit(t).alias("is_truth"))
     both = pick(truth, True).unionByName(pick(predicted, False))
-    return both.groupBy(*keys).applyInPandas(page, f"{types}, n_truth long, n_predicted long, n_matched long, sum_iou double, n_equal long")
+    return both.groupBy(*keys).applyInPandas(page, f"{types}, n_truth long, n_predicted long, n_matched long, sum_iou double" + "".join(f", n{c} long" for c in names))
+
+
+def text_levels(value: str) -> dict[str, Callable[[], Column]]:
+    """The four levels at which texts are compared, as columns to be equal."""
+    v = F.col(value)
+    return {"raw": lambda: v, "caseless": lambda: F.lower(v), "folded": lambda: folded(v), "unicase": lambda: F.lower(folded(v))}
 
 
 def localisation(pages: DataFrame) -> DataFrame:
-    """Recall, precision and mean IoU (two decimals) of page counts; null for an empty side."""
-    s = {c: F.sum(c) for c in ("n_truth", "n_predicted", "n_matched", "n_equal")}
-    return pages.agg(F.try_divide(s["n_matched"], s["n_truth"]).alias("recall"), F.try_divide(s["n_matched"], s["n_predicted"]).alias("precision"), F.bround(F.try_divide(F.sum("sum_iou"), s["n_predicted"]), 2).alias("mean_iou"), F.try_divide(s["n_equal"], s["n_truth"]).alias("equal_recall"), F.try_divide(s["n_equal"], s["n_predicted"]).alias("equal_precision"))
+    """Recall, precision and mean IoU (two decimals) of page counts, and both for each equality counted; null for an empty side."""
+    s = {c: F.sum(c) for c in pages.columns if c.startswith("n_")}
+    share = lambda a, b, name: F.try_divide(s[a], s[b]).alias(name)
+    equal = [c for c in s if c not in ("n_truth", "n_predicted", "n_matched")]
+    return pages.agg(share("n_matched", "n_truth", "recall"), share("n_matched", "n_predicted", "precision"), F.bround(F.try_divide(F.sum("sum_iou"), s["n_predicted"]), 2).alias("mean_iou"), *(share(c, n, f"{c[2:]}_{k}") for c in equal for n, k in (("n_truth", "recall"), ("n_predicted", "precision"))))
+
+
+def ocr_metric(truth: DataFrame, predicted: DataFrame, keys: list[str], value: str = "value", threshold: float = 0.5) -> DataFrame:
+    """Recall and precision of words found and read alike, at four levels, and the mean IoU."""
+    return localisation(page_matches(truth, predicted, keys, text_levels(value), threshold))
+
+
+def detection_metric(truth: DataFrame, predicted: DataFrame, keys: list[str], label: str, threshold: float = 0.5) -> DataFrame:
+    """Recall and precision of boxes found with the right class, and the mean IoU."""
+    s = localisation(page_matches(truth, predicted, keys, {"class": lambda: F.col(label)}, threshold))
+    return s.select(F.col("class_recall").alias("recall"), F.col("class_precision").alias("precision"), "mean_iou")
+
+
+def cell_metric(truth: DataFrame, predicted: DataFrame, keys: list[str], threshold: float = 0.5) -> DataFrame:
+    """Recall, precision and F1 of table cells, and the share of matched cells at the right rows and columns."""
+    place = lambda: F.concat_ws(",", "col_start", "col_end", "row_start", "row_end")
+    s = page_matches(truth, predicted, keys, {"place": place}, threshold).agg(*(F.sum(c).alias(c) for c in ("n_truth", "n_predicted", "n_matched", "n_place")))
+    n = {c: F.col(c) for c in s.columns}
+    f1 = F.when((n["n_truth"] > 0) & (n["n_predicted"] > 0), F.try_divide(2 * n["n_matched"], F.when(n["n_matched"] > 0, n["n_truth"] + n["n_predicted"])))
+    return s.select(F.try_divide(n["n_matched"], n["n_truth"]).alias("recall"), F.try_divide(n["n_matched"], n["n_predicted"]).alias("precision"), f1.alias("f1"), F.try_divide(n["n_place"], n["n_matched"]).alias("structure_accuracy"))
 
 
 def mutual_best(pairs: DataFrame, truth: str, predicted: str, keys: list[str]) -> DataFrame:
@@ -101,20 +137,44 @@ def mutual_best(pairs: DataFrame, truth: str, predicted: str, keys: list[str]) -
     return pairs.withColumn("_a", F.row_number().over(a)).withColumn("_b", F.row_number().over(b)).filter("_a = 1 and _b = 1").drop("_a", "_b")
 
 
+def running_count(rows: DataFrame, by: list[str], name: str, score: str = "score", order: str = "order") -> DataFrame:
+    """Adds the number of rows up to each, itself included, in its group, from the best score down, ties by ``order``.
+
+    Rows are sorted inside cells of the score, and of the order where one score
+    is frequent; cells are bounded by quantiles of all rows, so none is large.
+    The counts of the cells before are added from a table of a few hundred rows
+    a group.
+    """
+    quantiles = [i / CELLS for i in range(CELLS + 1)]
+    bounds = rows.agg(F.array_sort(F.array_distinct(F.percentile_approx(F.col(score).cast("double"), quantiles))).alias("_s"), F.array_sort(F.array_distinct(F.percentile_approx(F.col(order), quantiles))).alias("_o"))
+    # A score that is a bound has a cell of its own, which its order divides.
+    frequent = F.array_contains("_s", F.col(score).cast("double"))
+    cell = F.size(F.filter("_s", lambda b: b > F.col(score))) * 2 + frequent.cast("int")
+    part = F.when(frequent, F.size(F.filter("_o", lambda b: b < F.col(order)))).otherwise(0)
+    placed = rows.crossJoin(F.broadcast(bounds)).withColumns({"_cell": cell, "_part": part}).drop("_s", "_o")  # one row
+    sizes = placed.groupBy(*by, "_cell", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    so_far = Window.partitionBy(*by).orderBy("_cell", "_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(so_far), F.lit(0))).drop("_n")
+    inside = F.row_number().over(Window.partitionBy(*by, "_cell", "_part").orderBy(F.desc(score), order))
+    return placed.withColumn("_in", inside).join(sizes, [*by, "_cell", "_part"]).withColumn(name, F.col("_in") + F.col("_before")).drop("_in", "_before", "_cell", "_part")
+
+
 def average_precision(detections: DataFrame, truths: DataFrame, by: str, thresholds: list[float]) -> DataFrame:
     """101-point interpolated average precision of each class and threshold.
 
-    ``detections``: class, score, order, and the id and IoU of the best truth.
-    A detection is true if its best truth reaches the threshold and no detection
-    before it claimed that truth.  Recall levels are i * 0.01, compared with >=.
+    ``detections``: class, score, order (unique), and the id and IoU of the best
+    truth.  A detection is true if its best truth reaches the threshold and no
+    detection before it claimed that truth.  Recall levels are i * 0.01, compared
+    with >=.  Precision has its peaks at true detections, so only these are
+    followed beyond their place among all.
     """
-    rows = detections.withColumn("threshold", F.explode(F.array(*map(F.lit, thresholds))))
-    hit = F.coalesce(F.col("iou") >= F.col("threshold"), F.lit(False))
-    claim = Window.partitionBy(by, "threshold", "truth_id", hit).orderBy(F.desc("score"), "order")
-    rows = rows.withColumn("tp", (hit & F.col("truth_id").isNotNull() & (F.row_number().over(claim) == 1)).cast("int"))
-    run = Window.partitionBy(by, "threshold").orderBy(F.desc("score"), "order").rowsBetween(Window.unboundedPreceding, 0)
     n = truths.groupBy(by).agg(F.count(F.lit(1)).alias("n_truth"))
-    curve = rows.withColumns({"tps": F.sum("tp").over(run), "seen": F.count(F.lit(1)).over(run)}).join(n, by)
+    placed = running_count(checkpoint(detections.select(by, "score", "order", "truth_id", "iou")), [by], "seen")  # read three times
+    # The first claimant of a truth is the one with the least place; combined before the shuffle.
+    claim = lambda t: F.min(F.when(F.col("iou") >= t, F.col("seen")))
+    firsts = placed.filter("truth_id is not null").groupBy(by, "truth_id").agg(*(claim(t).alias(f"_{i}") for i, t in enumerate(thresholds)))
+    true = firsts.select(by, F.explode(F.filter(F.array(*(F.struct(F.lit(t).alias("threshold"), F.col(f"_{i}").alias("seen")) for i, t in enumerate(thresholds))), lambda x: x["seen"].isNotNull())).alias("t")).select(by, "t.threshold", "t.seen")
+    curve = running_count(checkpoint(true.withColumn("score", -F.col("seen"))), [by, "threshold"], "tps", order="seen").join(n, by)
     curve = curve.select(by, "threshold", (F.col("tps") / F.col("n_truth")).alias("recall"), (F.col("tps") / F.col("seen")).alias("precision"))
     # The greatest precision at each recall level: levels are taken by recall, then a maximum runs from the end.
     level = F.floor(F.col("recall") * 100).cast("int")
@@ -123,3 +183,11 @@ def average_precision(detections: DataFrame, truths: DataFrame, by: str, thresho
     back = Window.partitionBy(by, "threshold").orderBy(F.desc("level")).rowsBetween(Window.unboundedPreceding, 0)
     filled = grid.join(top, [by, "threshold", "level"], "left").withColumn("p", F.coalesce(F.max("p").over(back), F.lit(0.0)))
     return filled.groupBy(by, "threshold").agg((F.sum(F.bround("p", 12)) / 101).alias("ap"))
+
+
+def detection_summary(detections: DataFrame, truths: DataFrame, by: str, thresholds: list[float] | None = None) -> DataFrame:
+    """``map`` over all thresholds (0.5 to 0.95 in steps of 0.05), ``map_50`` and ``map_75``; classes without a truth are left out."""
+    thresholds = thresholds or [round(0.5 + 0.05 * i, 2) for i in range(10)]
+    ap = average_precision(detections, truths, by, thresholds).groupBy("threshold").agg(F.avg("ap").alias("ap"))
+    at = lambda t: F.max(F.when(F.abs(F.col("threshold") - t) < 1e-9, F.col("ap")))
+    return ap.agg(F.avg("ap").alias("map"), at(0.5).alias("map_50"), at(0.75).alias("map_75"))

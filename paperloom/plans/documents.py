@@ -310,7 +310,31 @@ def text_match_by_lang_rollup(spark, d):
 @query("SELECT (SELECT count(*) FROM i WHERE iou >= 0.5)::DOUBLE / (SELECT count(*) FROM w) AS recall, (SELECT count(*) FROM i WHERE iou >= 0.5)::DOUBLE / (SELECT count(*) FROM p) AS precision, round_even((SELECT sum(m) FROM (SELECT max(iou) AS m FROM i GROUP BY doc_id, page_idx, b)) / (SELECT count(*) FROM p), 2) AS mean_iou, (SELECT count(*) FROM i WHERE iou >= 0.5 AND truth = predicted)::DOUBLE / (SELECT count(*) FROM w) AS equal_recall, (SELECT count(*) FROM i WHERE iou >= 0.5 AND truth = predicted)::DOUBLE / (SELECT count(*) FROM p) AS equal_precision", WORDS, PREDICTED, PAIRS)
 def ocr_metric(spark, d):
     w = words(spark, d)
-    return M.localisation(M.page_matches(w, predicted_words(w), PAGE, ["value"]))
+    m = M.page_matches(w, predicted_words(w), PAGE, {"equal": lambda: F.col("value")})
+    return M.localisation(m)
+
+
+@query(None)
+def ocr_metric_levels(spark, d):
+    """At all four levels."""
+    w = words(spark, d)
+    return M.ocr_metric(w, predicted_words(w), PAGE)
+
+
+@query("SELECT (SELECT count(*) FROM i WHERE iou >= 0.5 AND a % 5 = b % 4)::DOUBLE / (SELECT count(*) FROM w) AS recall, (SELECT count(*) FROM i WHERE iou >= 0.5 AND a % 5 = b % 4)::DOUBLE / (SELECT count(*) FROM p) AS precision, round_even((SELECT sum(m) FROM (SELECT max(iou) AS m FROM i GROUP BY doc_id, page_idx, b)) / (SELECT count(*) FROM p), 2) AS mean_iou", WORDS, PREDICTED, PAIRS)
+def detection_metric(spark, d):
+    w = words(spark, d)
+    return M.detection_metric(w.withColumn("class", F.col("word_idx") % 5), predicted_words(w).withColumn("class", F.col("word_idx") % 4), PAGE, "class")
+
+
+@query("SELECT (count(*) FILTER (iou >= 0.5))::DOUBLE / (SELECT count(*) FROM g) AS recall, (count(*) FILTER (iou >= 0.5))::DOUBLE / (SELECT count(*) FROM q) AS precision, 2 * (count(*) FILTER (iou >= 0.5))::DOUBLE / ((SELECT count(*) FROM g) + (SELECT count(*) FROM q)) AS f1, (count(*) FILTER (iou >= 0.5 AND col_start = c2))::DOUBLE / (count(*) FILTER (iou >= 0.5)) AS structure_accuracy FROM (SELECT g.col_start, q.col_start AS c2, (least(g.x1, q.x1) - greatest(g.x0, q.x0)) * 25 / (2 * 5000.0::DOUBLE - (least(g.x1, q.x1) - greatest(g.x0, q.x0)) * 25) AS iou FROM g JOIN q USING (doc_id, page_idx, cell_idx))", WORDS, CELLS, """,
+q AS (SELECT doc_id, page_idx, cell_idx, row_start, col_start + CASE WHEN cell_idx % 7 = 3 THEN 1 ELSE 0 END AS col_start, x0 + cell_idx * 4 AS x0, y0, x1 + cell_idx * 4 AS x1, y1 FROM g WHERE cell_idx % 6 <> 5)""")
+def cell_metric(spark, d):
+    """Cells against a shifted copy without some, a few of them in a wrong column."""
+    g = cells(words(spark, d)).withColumns({"row_end": F.col("row_start"), "col_end": F.col("col_start")})
+    q = g.filter("cell_idx % 6 <> 5").withColumn("col_start", F.col("col_start") + (F.col("cell_idx") % 7 == 3).cast("int"))
+    q = q.withColumns({c: F.col(c) + F.col("cell_idx") * 4 for c in ("x0", "x1")})
+    return M.cell_metric(g, q, PAGE)
 
 
 @query("SELECT doc_id, page_idx, a, b FROM i WHERE iou >= 0.5", WORDS, PREDICTED, PAIRS)
@@ -331,10 +355,28 @@ lv AS (SELECT class, threshold, floor(recall * 100) AS l, max(prec) AS p FROM cu
 lv2 AS (SELECT class, threshold, k, max(prec) AS p FROM (SELECT class, threshold, prec, CASE WHEN recall >= (floor(recall * 100) + 1) * 0.01::DOUBLE THEN floor(recall * 100) + 1 WHEN recall >= floor(recall * 100) * 0.01::DOUBLE THEN floor(recall * 100) ELSE floor(recall * 100) - 1 END AS k FROM cu) GROUP BY ALL),
 x AS (SELECT class, threshold, k FROM gt CROSS JOIN th CROSS JOIN range(101) AS s(k))""")
 def average_precision(spark, d):
+    det, truth = detections(spark, d)
+    return M.average_precision(det, truth, "class", [0.5, 0.75, 0.95]).withColumn("ap", F.round("ap", 6))
+
+
+def detections(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Predicted words with their best truth, and the truths, in three classes."""
     w = words(spark, d)
-    p = predicted_words(w)
-    det = matched(spark, d).join(p.select(*PAGE, F.col("word_idx").alias("b"), "confidence_pct"), [*PAGE, "b"]).select((F.col("b") % 3).alias("class"), F.col("confidence_pct").alias("score"), (F.col("doc_id") * 100000 + F.col("b")).alias("order"), (F.col("doc_id") * 100000 + F.col("a")).alias("truth_id"), "iou")
-    return M.average_precision(det, w.select((F.col("word_idx") % 3).alias("class")), "class", [0.5, 0.75, 0.95]).withColumn("ap", F.round("ap", 6))
+    p = predicted_words(w).withColumn("score", F.col("confidence_pct"))
+    a, b = B.box_of("a"), B.box_of("b")
+    pairs = B.overlap_pairs(w, p, PAGE).select(F.col("b.doc_id").alias("doc_id"), F.col("a.word_idx").alias("a"), F.col("b.word_idx").alias("b"), F.col("b.score").alias("score"), G.iou(a, b).alias("iou"))
+    number = lambda c: F.col("doc_id") * 100000 + F.col(c)
+    return pairs.select((F.col("b") % 3).alias("class"), "score", number("b").alias("order"), number("a").alias("truth_id"), "iou"), w.select((F.col("word_idx") % 3).alias("class"))
+
+
+@query("SELECT round(avg(ap), 6) AS map, round(max(CASE WHEN threshold = 0.5 THEN ap END), 6) AS map_50, round(max(CASE WHEN threshold = 0.75 THEN ap END), 6) AS map_75 FROM (SELECT threshold, avg(ap) AS ap FROM (SELECT class, threshold, sum(coalesce((SELECT max(c.p) FROM lv2 c WHERE c.class = x.class AND c.threshold = x.threshold AND c.k >= x.k), 0)) / 101 AS ap FROM x GROUP BY ALL) GROUP BY threshold)", WORDS, PREDICTED, PAIRS, AP.replace("[0.5, 0.75, 0.95]", "[0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95]"), """,
+lv2 AS (SELECT class, threshold, k, max(prec) AS p FROM (SELECT class, threshold, prec, CASE WHEN recall >= (floor(recall * 100) + 1) * 0.01::DOUBLE THEN floor(recall * 100) + 1 WHEN recall >= floor(recall * 100) * 0.01::DOUBLE THEN floor(recall * 100) ELSE floor(recall * 100) - 1 END AS k FROM cu) GROUP BY ALL),
+x AS (SELECT class, threshold, k FROM gt CROSS JOIN th CROSS JOIN range(101) AS s(k))""")
+def detection_summary(spark, d):
+    """Mean average precision over ten thresholds."""
+    det, truth = detections(spark, d)
+    out = M.detection_summary(det, truth, "class")
+    return out.select(*(F.round(c, 6).alias(c) for c in out.columns))
 
 
 @query("SELECT page_id, block_idx, line_idx, count(*) AS n, round(avg(objectness_score), 9) AS objectness FROM (SELECT DISTINCT word_id, page_id, block_idx, line_idx, objectness_score FROM ocr_words) GROUP BY ALL")
@@ -577,10 +619,18 @@ def reading_order(spark, d):
     return R.page_reading_order(L.line_table(L.resolve_lines(words(spark, d))), PAGE)
 
 
-@query("SELECT doc_id, page_idx, line_idx, CAST(sum(j) OVER (PARTITION BY doc_id, page_idx ORDER BY line_idx) AS BIGINT) - 1 AS segment_idx FROM (SELECT doc_id, page_idx, line_idx, CASE WHEN least(lag(x1) OVER q, x1) - greatest(lag(x0) OVER q, x0) > 0.2 * least(lag(x1) OVER q - lag(x0) OVER q, x1 - x0) AND y0 - lag(y1) OVER q <= 0.8 * median(y1 - y0) OVER (PARTITION BY doc_id, page_idx) THEN 0 ELSE 1 END AS j FROM (SELECT doc_id, page_idx, line_idx, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM ln GROUP BY ALL) WINDOW q AS (PARTITION BY doc_id, page_idx ORDER BY line_idx))", WORDS, LINES)
+LABELLED = """,
+sb AS (SELECT doc_id, page_idx, line_idx, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM ln GROUP BY ALL),
+sv AS (SELECT sb.doc_id, sb.page_idx, sb.line_idx, arg_min(r.type, r.region_idx - 1000000.0 * cover) AS type FROM (SELECT sb.*, r.region_idx, r.type, (least(sb.x1, r.x1) - greatest(sb.x0, r.x0)) * (least(sb.y1, r.y1) - greatest(sb.y0, r.y0)) / ((sb.x1 - sb.x0) * (sb.y1 - sb.y0))::DOUBLE AS cover FROM sb JOIN r ON sb.doc_id = r.doc_id AND sb.page_idx = r.page_idx AND sb.x0 < r.x1 AND r.x0 < sb.x1 AND sb.y0 < r.y1 AND r.y0 < sb.y1) r JOIN sb USING (doc_id, page_idx, line_idx) WHERE cover >= 0.5 GROUP BY ALL),
+sl AS (SELECT sb.*, coalesce(lower(sv.type), '') AS label FROM sb LEFT JOIN sv USING (doc_id, page_idx, line_idx))"""
+
+
+@query("SELECT doc_id, page_idx, line_idx, CAST(sum(j) OVER (PARTITION BY doc_id, page_idx ORDER BY line_idx) AS BIGINT) - 1 AS segment_idx FROM (SELECT doc_id, page_idx, line_idx, CASE WHEN label = lag(label) OVER q AND label <> 'table' AND least(lag(x1) OVER q, x1) - greatest(lag(x0) OVER q, x0) > 0.2 * least(lag(x1) OVER q - lag(x0) OVER q, x1 - x0) AND y0 - lag(y1) OVER q <= 0.8 * median(y1 - y0) OVER (PARTITION BY doc_id, page_idx) THEN 0 ELSE 1 END AS j FROM sl WINDOW q AS (PARTITION BY doc_id, page_idx ORDER BY line_idx))", WORDS, LINES, REGIONS, LABELLED)
 def reading_segments(spark, d):
-    t = L.line_table(L.resolve_lines(words(spark, d)))
-    return R.reading_segments(t, PAGE, "line_idx").select(*PAGE, "line_idx", "segment_idx")
+    """Lines in segments of one label, floats apart."""
+    w = words(spark, d)
+    t = R.covering_labels(L.line_table(L.resolve_lines(w)).drop("text"), regions(w), PAGE, "line_idx")
+    return R.reading_segments(t, PAGE, "line_idx", label="type").select(*PAGE, "line_idx", "segment_idx")
 
 
 @query("SELECT vec_id, round(sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])), 6) AS norm, len(embedding) AS n FROM embeddings")

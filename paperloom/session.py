@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -19,6 +21,7 @@ def local_session(cores: int | str = 8, memory: str = "8g", app: str = "paperloo
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -30,14 +33,21 @@ def local_session(cores: int | str = 8, memory: str = "8g", app: str = "paperloo
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` through the shared checkpoint folder.
 
-    The folder is the one named in ``spark.checkpoint.dir``.  Only where the
-    session names none (tests, a laptop) a local folder is used.
+    The folder is the one named in ``spark.checkpoint.dir``.  Only a local
+    session that names none (tests, a laptop) gets a folder of its own, which
+    goes with the process; a cluster without a shared folder is an error, as
+    one machine's disk would not outlive it.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         named = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "paperloom-checkpoints"))
+        if not named:
+            if not sc.master.startswith("local[") and sc.master != "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+            named = tempfile.mkdtemp(prefix="paperloom-checkpoints-")
+            atexit.register(shutil.rmtree, named, True)
+        sc.setCheckpointDir(named)
     return df.checkpoint(eager=True)
 
 

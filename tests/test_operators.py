@@ -14,7 +14,7 @@ from paperloom.operators import exporters as E
 from paperloom.operators import lines as L
 from paperloom.operators import metrics as M
 from paperloom.operators.predict import read_pages, regroup, whitelisted
-from paperloom.operators.reading import canonical, covering_labels, reading_order, reading_segments
+from paperloom.operators.reading import canonical, covering_labels, gutter, reading_order, reading_segments
 
 BOX = "doc_id long, page_idx long, idx long, x0 double, y0 double, x1 double, y1 double"
 
@@ -91,6 +91,30 @@ def test_localisation(spark):
     assert tuple(M.localisation(M.page_matches(t.limit(0), t.limit(0), keys)).first())[:3] == (None, None, None)
 
 
+def test_labelled_metrics(spark):
+    """Words at four levels, classes, and table cells."""
+    box = BOX + ", value string, class long, row_start int, row_end int, col_start int, col_end int"
+    at = lambda i, v, c, row, col: (1, 0, i, 10.0 * i, 0.0, 10.0 * i + 8, 8.0, v, c, row, row, col, col)
+    t = spark.createDataFrame([at(0, "Été", 1, 0, 0), at(1, "b", 1, 0, 1), at(2, "c", 2, 1, 0), at(3, "d", 2, 1, 1)], box)
+    p = spark.createDataFrame([at(0, "été", 1, 0, 0), at(1, "b", 2, 0, 1), at(2, "C", 2, 1, 1), at(9, "x", 2, 3, 3), at(8, "x", 2, 3, 3)], box)
+    m = M.ocr_metric(t, p, KEYS).first()
+    assert (m.recall, m.precision, m.raw_recall, m.caseless_recall, m.folded_recall, m.unicase_precision) == (0.75, 0.6, 0.25, 0.75, 0.25, 0.6)
+    assert tuple(M.detection_metric(t, p, KEYS, "class").first()) == (0.5, 0.4, 0.6)
+    c = M.cell_metric(t, p, KEYS).first()
+    assert (c.recall, c.precision) == (0.75, 0.6) and abs(c.f1 - 2 / 3) < 1e-9 and abs(c.structure_accuracy - 2 / 3) < 1e-9
+    assert tuple(M.cell_metric(t, p.limit(0), KEYS).first()) == (0, None, None, None)
+
+
+def test_running_count(spark):
+    """Two-level ranks with one score on a third of the rows, against a sort."""
+    rng = np.random.default_rng(2)
+    rows = [(int(rng.integers(2)), float(s), i) for i, s in enumerate(np.where(rng.random(900) < 0.35, 0.5, rng.random(900).round(2)))]
+    got = {r.order: r.seen for r in M.running_count(spark.createDataFrame(rows, "c long, score double, order long"), ["c"], "seen").collect()}
+    for c in (0, 1):
+        mine = sorted((-s, i) for k, s, i in rows if k == c)
+        assert [got[i] for _, i in mine] == list(range(1, len(mine) + 1))
+
+
 def test_average_precision(spark):
     truth = spark.createDataFrame([(1,), (1,), (2,)], "c long")
     det = spark.createDataFrame([(1, 0.9, 1, 1, 0.9), (1, 0.8, 2, 2, 0.6), (1, 0.7, 3, 1, 0.95), (3, 0.5, 4, None, None)], "c long, score double, order long, truth_id long, iou double")
@@ -102,6 +126,12 @@ def columns(n=4):
     return [(0.1, 0.1 + 0.2 * i, 0.45, 0.25 + 0.2 * i) for i in range(n)] + [(0.55, 0.1 + 0.2 * i, 0.9, 0.25 + 0.2 * i) for i in range(n)]
 
 
+def test_gutter():
+    two, one = np.array(columns()), np.array([(0.1, 0.1 * i, 0.9, 0.1 * i + 0.08) for i in range(6)])
+    assert gutter(two) and not gutter(one) and not gutter(np.concatenate([two[:1], one]))
+    assert gutter(np.concatenate([two, [(0.1, 0.01, 0.9, 0.05)]]))  # one heading across
+
+
 def test_reading_order():
     order = lambda b, **k: reading_order(np.array(b).reshape(-1, 4), **k)
     assert order([]) == [] and order([(0, 0, 1, 1)]) == [0]
@@ -128,6 +158,10 @@ def test_segments_and_labels(spark):
     rows = [(1, 0, i, 0.1, y, 0.9, y + 0.03) for i, y in enumerate((0.1, 0.15, 0.2, 0.4, 0.45))]
     df = spark.createDataFrame(rows, BOX)
     assert [r.segment_idx for r in reading_segments(df, ["doc_id", "page_idx"], "idx").orderBy("idx").collect()] == [0, 0, 0, 1, 1]
+    named = df.join(spark.createDataFrame([(0, "Text"), (1, "text"), (2, "Title"), (3, "Table"), (4, "Table")], "idx long, type string"), "idx")
+    assert [r.segment_idx for r in reading_segments(named, ["doc_id", "page_idx"], "idx", label="type").orderBy("idx").collect()] == [0, 0, 1, 2, 3]
+    tall = spark.createDataFrame([(1, 0, i, 0.8 - 0.05 * i, 0.1, 0.84 - 0.05 * i, 0.9) for i in range(3)], BOX)
+    assert [r.segment_idx for r in reading_segments(tall, ["doc_id", "page_idx"], "idx", direction="ttb-rtl").orderBy("idx").collect()] == [0, 0, 0]
     regions = spark.createDataFrame([(1, 0, 0, "Title", 0.05, 0.05, 0.95, 0.14), (1, 0, 1, "Text", 0.05, 0.14, 0.95, 0.3)], "doc_id long, page_idx long, region_idx long, type string, x0 double, y0 double, x1 double, y1 double")
     assert [r.type for r in covering_labels(df, regions, ["doc_id", "page_idx"], "idx").orderBy("idx").collect()] == ["Title", "Text", "Text", None, None]
 
