@@ -19,9 +19,6 @@ from ..session import checkpoint
 from .boxes import iou_matrix
 from .lines import components
 
-#: Cells by score in which detections are sorted.
-CELLS = 128
-
 
 def text_match(pairs: DataFrame, a: str = "truth", b: str = "predicted", by: list[str] | None = None) -> DataFrame:
     """Shares of equal texts at four levels; no row where there is no pair."""
@@ -140,23 +137,19 @@ def mutual_best(pairs: DataFrame, truth: str, predicted: str, keys: list[str]) -
 def running_count(rows: DataFrame, by: list[str], name: str, score: str = "score", order: str = "order") -> DataFrame:
     """Adds the number of rows up to each, itself included, in its group, from the best score down, ties by ``order``.
 
-    Rows are sorted inside cells of the score, and of the order where one score
-    is frequent; cells are bounded by quantiles of all rows, so none is large.
-    The counts of the cells before are added from a table of a few hundred rows
-    a group.
+    Rows are range-partitioned by group, score and order, so that neither a large
+    group nor a frequent score is one task's; a row's place is its place in its
+    partition and what the partitions before hold of its group, a table of a row
+    for each partition and group.
     """
-    quantiles = [i / CELLS for i in range(CELLS + 1)]
-    bounds = rows.agg(F.array_sort(F.array_distinct(F.percentile_approx(F.col(score).cast("double"), quantiles))).alias("_s"), F.array_sort(F.array_distinct(F.percentile_approx(F.col(order), quantiles))).alias("_o"))
-    # A score that is a bound has a cell of its own, which its order divides.
-    frequent = F.array_contains("_s", F.col(score).cast("double"))
-    cell = F.size(F.filter("_s", lambda b: b > F.col(score))) * 2 + frequent.cast("int")
-    part = F.when(frequent, F.size(F.filter("_o", lambda b: b < F.col(order)))).otherwise(0)
-    placed = rows.crossJoin(F.broadcast(bounds)).withColumns({"_cell": cell, "_part": part}).drop("_s", "_o")  # one row
-    sizes = placed.groupBy(*by, "_cell", "_part").agg(F.count(F.lit(1)).alias("_n"))
-    so_far = Window.partitionBy(*by).orderBy("_cell", "_part").rowsBetween(Window.unboundedPreceding, -1)
+    keys = [*by, F.desc(score), F.col(order)]
+    placed = checkpoint(rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_id", F.monotonically_increasing_id()))
+    part = F.shiftright("_id", 33).alias("_part")
+    sizes = placed.groupBy(*by, part).agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+    so_far = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(so_far), F.lit(0))).drop("_n")
-    inside = F.row_number().over(Window.partitionBy(*by, "_cell", "_part").orderBy(F.desc(score), order))
-    return placed.withColumn("_in", inside).join(sizes, [*by, "_cell", "_part"]).withColumn(name, F.col("_in") + F.col("_before")).drop("_in", "_before", "_cell", "_part")
+    found = placed.withColumn("_part", part).join(F.broadcast(sizes), [*by, "_part"])  # partitions plus groups rows
+    return found.withColumn(name, F.col("_id") - F.col("_first") + F.col("_before") + 1).drop("_id", "_first", "_before", "_part")
 
 
 def average_precision(detections: DataFrame, truths: DataFrame, by: str, thresholds: list[float]) -> DataFrame:
@@ -169,12 +162,12 @@ def average_precision(detections: DataFrame, truths: DataFrame, by: str, thresho
     followed beyond their place among all.
     """
     n = truths.groupBy(by).agg(F.count(F.lit(1)).alias("n_truth"))
-    placed = running_count(checkpoint(detections.select(by, "score", "order", "truth_id", "iou")), [by], "seen")  # read three times
+    placed = running_count(detections.select(by, "score", "order", "truth_id", "iou"), [by], "seen")
     # The first claimant of a truth is the one with the least place; combined before the shuffle.
     claim = lambda t: F.min(F.when(F.col("iou") >= t, F.col("seen")))
     firsts = placed.filter("truth_id is not null").groupBy(by, "truth_id").agg(*(claim(t).alias(f"_{i}") for i, t in enumerate(thresholds)))
     true = firsts.select(by, F.explode(F.filter(F.array(*(F.struct(F.lit(t).alias("threshold"), F.col(f"_{i}").alias("seen")) for i, t in enumerate(thresholds))), lambda x: x["seen"].isNotNull())).alias("t")).select(by, "t.threshold", "t.seen")
-    curve = running_count(checkpoint(true.withColumn("score", -F.col("seen"))), [by, "threshold"], "tps", order="seen").join(n, by)
+    curve = running_count(true.withColumn("score", -F.col("seen")), [by, "threshold"], "tps", order="seen").join(n, by)
     curve = curve.select(by, "threshold", (F.col("tps") / F.col("n_truth")).alias("recall"), (F.col("tps") / F.col("seen")).alias("precision"))
     # The greatest precision at each recall level: levels are taken by recall, then a maximum runs from the end.
     level = F.floor(F.col("recall") * 100).cast("int")
