@@ -210,3 +210,36 @@ def span_from_votes(votes: list[Column], near: tuple[int, int], far: tuple[int,
     by_start = F.abs(a - b) <= F.abs(c - d)
     start = F.coalesce(first, last + 1 - span, F.when(by_start, whole((a + b) / 2)).otherwise(F.greatest(span + 1, F.bround((c + d) / 2).cast("int")) - span))
     return start, start + span - 1
+
+
+def expanded_line(x0: Column, y0: Column, x1: Column, y1: Column, width: Column, height: Column) -> dict[str, Column]:
+    """Both ends of a segment drawn out to the edge of the canvas along its own line; a point stays."""
+    dx, dy = x1 - x0, y1 - y0
+    flat, upright_ = dy == 0, dx == 0
+    along_x = F.abs(dx) * height >= F.abs(dy) * width
+    at_y = lambda x: y0 + (x - x0) * F.try_divide(dy, dx)
+    at_x = lambda y: x0 + (y - y0) * F.try_divide(dx, dy)
+    low, right, down = F.lit(0.0), width.cast("double"), height.cast("double")
+    point_ = flat & upright_
+    ends = {"x0": F.when(along_x, low).otherwise(at_x(low)), "y0": F.when(along_x, at_y(low)).otherwise(low), "x1": F.when(along_x, right).otherwise(at_x(down)), "y1": F.when(along_x, at_y(right)).otherwise(down)}
+    was = {"x0": x0, "y0": y0, "x1": x1, "y1": y1}
+    return {k: F.when(point_, was[k].cast("double")).otherwise(v) for k, v in ends.items()}
+
+
+def gaussian_similarity(a: tuple[Column, ...], b: tuple[Column, ...], eps: float = 1e-7) -> Column:
+    """Similarity of two oriented boxes (centre, size, angle in radians) taken as Gaussians: one less their Hellinger distance."""
+
+    def spread(t: tuple[Column, ...]) -> tuple[Column, Column, Column]:
+        u, v, c, s = t[2] * t[2] / 12, t[3] * t[3] / 12, F.cos(t[4]), F.sin(t[4])
+        return u * c * c + v * s * s, u * s * s + v * c * c, (u - v) * c * s
+
+    (a1, b1, c1), (a2, b2, c2) = spread(a), spread(b)
+    sa, sb, sc = a1 + a2, b1 + b2, c1 + c2
+    dx, dy = a[0] - b[0], a[1] - b[1]
+    det = sa * sb - sc * sc
+    t1 = (sa * dy * dy + sb * dx * dx) / (det + eps) / 4
+    t2 = -sc * dx * dy / (det + eps) / 2
+    inside = lambda p, q, r: F.greatest(p * q - r * r, F.lit(0.0))
+    t3 = F.log(det / (4 * F.sqrt(inside(a1, b1, c1) * inside(a2, b2, c2)) + eps) + eps) / 2
+    distance = F.least(F.greatest(t1 + t2 + t3, F.lit(eps)), F.lit(100.0))
+    return 1 - F.sqrt(1 - F.exp(-distance) + eps)

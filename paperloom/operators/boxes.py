@@ -218,6 +218,8 @@ def polygon_ious(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     crossings of their edges; sorted about their mean they give its area.
     """
     a, b = np.asarray(a, float), np.asarray(b, float)
+    if not len(a):
+        return np.zeros(0)
     cross = lambda u, v: u[..., 0] * v[..., 1] - u[..., 1] * v[..., 0]
     area = lambda p: cross(p, np.roll(p, -1, axis=1)).sum(axis=1) / 2
     size_a, size_b = area(a), area(b)
@@ -255,6 +257,72 @@ def polygon_iou_column() -> object:
     return run
 
 
+def polygon_nms(polygons: DataFrame, keys: list[str], index: str, label: str, score: str, threshold: float = 0.5) -> DataFrame:
+    """Quads kept by greedy suppression inside each class of a page: gone if the IoU with one kept before reaches the threshold.
+
+    ``polygon``: eight numbers.  Ties of the score go to the lower index.
+    """
+    pages = polygons.groupBy(*keys, label).agg(F.sort_array(F.collect_list(F.struct((-F.col(score)).alias("s"), F.col(index).alias("i"), F.col("polygon")))).alias("p"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows, kept = [], []
+            for k, quads in enumerate(b.column(b.num_columns - 1).to_pylist()):
+                q = np.array([x["polygon"] for x in quads], float).reshape(-1, 4, 2)
+                low, high = q.min(axis=1), q.max(axis=1)
+                near = ((low[:, None] <= high) & (low <= high[:, None])).all(axis=2)
+                i, j = np.nonzero(np.triu(near, 1))
+                clash = polygon_ious(q[i], q[j]) >= threshold
+                i, j = i[clash], j[clash]
+                alive = np.ones(len(q), bool)
+                for n in np.unique(i).tolist():  # only quads in conflict, best first
+                    if alive[n]:
+                        alive[j[i == n]] = False
+                rows += [k] * int(alive.sum())
+                kept += [quads[n]["i"] for n in np.flatnonzero(alive).tolist()]
+            of = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(b.column(c).take(of) for c in range(len(keys) + 1)), pa.array(kept, b.schema.field(b.num_columns - 1).type.value_type.field("i").type)], [*keys, label, index])
+
+    types = ", ".join(f"{k} {polygons.schema[k].dataType.simpleString()}" for k in [*keys, label, index])
+    return pages.mapInArrow(run, types)
+
+
+def logic_cells(cells: DataFrame, keys: list[str], votes: DataFrame, least: float = 0.3, size: tuple[int, int] = (1, 1)) -> DataFrame:
+    """Cells above a score with rows and columns read off a grid of votes at their corners, from 0.
+
+    ``cells``: keys, ``cell_idx, score`` and ``corners`` (eight numbers, in grid
+    units); ``votes``: keys, ``grid_x, grid_y, col, row``.  A corner outside the
+    grid is read at its edge; of the four votes the least starts and the greatest
+    ends a cell.  Coordinates come out relative to ``size``.
+    """
+    kept = cells.filter(F.col("score") >= least)
+    edge = votes.groupBy(*keys).agg(F.max("grid_x").alias("_mx"), F.max("grid_y").alias("_my"))
+    corner = F.explode(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda k: F.struct(F.element_at("corners", 2 * k + 1).alias("x"), F.element_at("corners", 2 * k + 2).alias("y"))))
+    at = kept.join(edge, keys).select(*keys, "cell_idx", "_mx", "_my", corner.alias("c"))
+    clamp = lambda v, most: F.least(F.greatest(F.floor(v), F.lit(0)), F.col(most)).cast("long")
+    read = at.select(*keys, "cell_idx", clamp(F.col("c.x"), "_mx").alias("grid_x"), clamp(F.col("c.y"), "_my").alias("grid_y")).join(votes, [*keys, "grid_x", "grid_y"])
+    whole = lambda f, c: F.greatest(F.bround(f(c)).cast("int") - 1, F.lit(0))
+    logic = read.groupBy(*keys, "cell_idx").agg(whole(F.min, "row").alias("row_start"), whole(F.max, "row").alias("row_end"), whole(F.min, "col").alias("col_start"), whole(F.max, "col").alias("col_end"))
+    relative = F.transform("corners", lambda v, i: F.least(F.greatest(v / F.when(i % 2 == 0, size[0]).otherwise(size[1]), F.lit(0.0)), F.lit(1.0)))
+    return kept.select(*keys, "cell_idx", "score", relative.alias("corners")).join(logic, [*keys, "cell_idx"])
+
+
+def relocated(corners: DataFrame, points: DataFrame, keys: list[str], reach: float) -> DataFrame:
+    """Cell corners snapped to the best detected corner within reach: the nearest, of equally near ones the surest.
+
+    ``corners``: keys, ``cell_idx, corner_idx, x, y``; ``points``: keys, ``px, py, score``.  Points meet in squares of ``reach``.
+    """
+    square = lambda x, y: (F.floor(F.col(x) / reach), F.floor(F.col(y) / reach))
+    cx, cy = square("x", "y")
+    around = corners.withColumns({"_cx": F.explode(F.array(cx - 1, cx, cx + 1))}).withColumn("_cy", F.explode(F.array(cy - 1, cy, cy + 1)))
+    px, py = square("px", "py")
+    d = (F.col("px") - F.col("x")) * (F.col("px") - F.col("x")) + (F.col("py") - F.col("y")) * (F.col("py") - F.col("y"))
+    near = around.join(points.withColumns({"_cx": px, "_cy": py}), [*keys, "_cx", "_cy"]).withColumn("_d", d).filter(F.col("_d") <= reach * reach)
+    best = near.groupBy(*keys, "cell_idx", "corner_idx").agg(F.min(F.struct("_d", -F.col("score"), "px", "py")).alias("b"))
+    out = corners.join(best, [*keys, "cell_idx", "corner_idx"], "left")
+    return out.withColumns({"x": F.coalesce("b.px", "x"), "y": F.coalesce("b.py", "y")}).drop("b")
+
+
 def top_queries(logits: DataFrame, keys: list[str], k: int = 300, least: float = 0.3) -> DataFrame:
     """Best ``k`` (query, class) pairs of a page by sigmoid score, those above the threshold.
 

@@ -11,6 +11,7 @@ from ..functions import geometry as G
 from ..functions import text as X
 from ..operators import boxes as B
 from ..operators import exporters as E
+from ..operators import linear as N
 from ..operators import lines as L
 from ..operators import metrics as M
 from ..operators import reading as R
@@ -579,6 +580,39 @@ def page_json(spark, d):
     return E.export_as("json", PAGE, words=L.resolve_lines(words(spark, d)))
 
 
+def linear_lines(spark, d) -> DataFrame:
+    w = L.resolve_lines(words(spark, d))
+    edges = (f(c).alias(c) for f, c in ((F.min, "x0"), (F.min, "y0"), (F.max, "x1"), (F.max, "y1")))
+    return w.groupBy(*PAGE, "line_idx").agg(F.sort_array(F.collect_list(F.struct("x0", "word_idx", "value", "y0", "x1", "y1"))).alias("words"), *edges)
+
+
+@query(None)
+def page_items(spark, d):
+    """Every page as ordered items of labelled lines."""
+    lines = linear_lines(spark, d)
+    return N.page_items(lines, PAGE, regions(words(spark, d))).drop("elements")
+
+
+@query(None)
+def page_exported(spark, d):
+    """Pages linearised and written as Markdown."""
+    return E.export_as("md", PAGE, N.page_items(linear_lines(spark, d), PAGE, regions(words(spark, d))))
+
+
+@query("SELECT doc_id, page_idx, class_idx, word_idx, value FROM fl JOIN w USING (doc_id, page_idx, word_idx, value)", WORDS, """,
+fl AS (SELECT doc_id, page_idx, word_idx % 9 AS class_idx, word_idx, value FROM w WHERE word_idx % 9 < 3)""")
+def kie_predictions(spark, d):
+    """Key information in the order of its classes and of reading."""
+    w = words(spark, d).filter("word_idx % 9 < 3").withColumn("class_idx", F.col("word_idx") % 9)
+    return N.ordered_predictions(w, PAGE).select(*PAGE, "class_idx", "word_idx", "value")
+
+
+@query("SELECT doc_id, page_idx, word_idx, CASE WHEN (x1 - x0) * 1000 >= 2 * 800 THEN 0.0 ELSE x0 - y0 * (x1 - x0) / 2.0::DOUBLE END AS x0, CASE WHEN (x1 - x0) * 1000 >= 2 * 800 THEN y0 - x0 * 2.0::DOUBLE / (x1 - x0) ELSE 0.0 END AS y0 FROM w", WORDS)
+def expand_line(spark, d):
+    ends = G.expanded_line(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y0") + 2, F.lit(800), F.lit(1000))
+    return words(spark, d).select(*PAGE, "word_idx", ends["x0"].alias("x0"), ends["y0"].alias("y0"))
+
+
 def fields(spark, d) -> DataFrame:
     """Key information stand-in: the words of three classes of a document's page."""
     w = words(spark, d).filter("word_idx % 9 < 3")
