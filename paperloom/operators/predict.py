@@ -7,13 +7,15 @@ ships deterministic stand-ins, not models.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import merge_all
+from ..functions.text import FOLD, merge_all
+from .linear import ordered_predictions
 
 Detector = Callable[[pd.DataFrame], pd.DataFrame]
 Recogniser = Callable[[pd.Series], pd.DataFrame]
@@ -60,6 +62,54 @@ def whitelisted(candidates: DataFrame, allowed: str, keys: list[str]) -> DataFra
     return candidates.filter(F.col("char").isin(*allowed)).groupBy(*keys).agg(F.max_by("char", F.struct("score", "char")).alias("char"), F.max("score").alias("score"))
 
 
+def nearest_allowed(vocabulary: str, allowed: str) -> dict[str, str]:
+    """For every character outside the alphabet an allowed one with the same plain form, if there is one: the same case before the other."""
+    plain = lambda c: unicodedata.normalize("NFKD", FOLD.get(c, c)).encode("ascii", "ignore").decode()
+    by: dict[str, str] = {}
+    for c in allowed:
+        by.setdefault(plain(c), c)
+        by.setdefault(plain(c).swapcase(), c)
+    return {c: by[plain(c)] for c in vocabulary if c not in allowed and plain(c) and plain(c) in by}
+
+
+def restricted(candidates: DataFrame, vocabulary: str, allowed: str, keys: list[str], strategy: str = "mask", mapping: dict[str, str] | None = None) -> DataFrame:
+    """Best allowed character of each step.
+
+    ``mask`` leaves other characters out; ``nearest`` counts a character for the
+    allowed one of the same plain form (or of ``mapping``), taking the better
+    score, before the choice.
+    """
+    if strategy not in ("mask", "nearest"):
+        raise ValueError("strategy must be 'mask' or 'nearest'")
+    if not allowed or set(allowed) - set(vocabulary):
+        raise ValueError("allowed characters must be some of the vocabulary")
+    if strategy == "nearest":
+        pairs = [F.lit(x) for p in (mapping or nearest_allowed(vocabulary, allowed)).items() for x in p]
+        candidates = candidates.withColumn("char", F.coalesce(F.create_map(*pairs)[F.col("char")], F.col("char"))) if pairs else candidates
+    return whitelisted(candidates, allowed, keys)
+
+
+def kie_pages(pages: DataFrame, detector: Detector, recogniser: Recogniser | None = None) -> DataFrame:
+    """Key information of pages: recognised boxes with the class the detector gave them, in reading order inside it."""
+    words = read_pages(pages, detector, recogniser or echo_recogniser)
+    index = words.select("class").distinct().withColumn("class_idx", F.row_number().over(Window.orderBy("class")).cast("long") - 1)  # a row for each class
+    return ordered_predictions(words.join(F.broadcast(index), "class"), ["page_id"])
+
+
+def table_cells(regions: DataFrame, model: Callable[[pd.DataFrame], pd.DataFrame], keys: list[str], label: str = "Table") -> DataFrame:
+    """Cells of every table region by a model that sees one region in coordinates of its own, mapped back to the page.
+
+    The model turns rows of regions into ``region_idx``, keys, ``cell_idx, x0,
+    y0, x1, y1`` (0..1 in the region) and ``row_start, row_end, col_start, col_end``.
+    """
+    tables = regions.filter(F.col("type") == label)
+    kinds = ", ".join(f"{k} {regions.schema[k].dataType.simpleString()}" for k in [*keys, "region_idx"])
+    cells = tables.mapInPandas(lambda bs: map(model, bs), f"{kinds}, cell_idx long, x0 double, y0 double, x1 double, y1 double, row_start int, row_end int, col_start int, col_end int")
+    place = tables.select(*keys, "region_idx", *(F.col(c).alias(f"_{c}") for c in ("x0", "y0", "x1", "y1")))
+    back = {c: F.col(f"_{a}0") + F.col(c) * (F.col(f"_{a}1") - F.col(f"_{a}0")) for a in "xy" for c in (f"{a}0", f"{a}1")}
+    return cells.join(place, [*keys, "region_idx"]).withColumns(back).drop("_x0", "_y0", "_x1", "_y1")
+
+
 def grid_detector(pages: pd.DataFrame) -> pd.DataFrame:
     """Stand-in: a row of boxes a page, one for each token of its text."""
     rows = []
