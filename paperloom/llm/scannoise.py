@@ -222,7 +222,7 @@ def learn(words: DataFrame, share: float = 0.0015, number_share: float = 0.01, p
             for d in range(1, WINDOW + 1):
                 a, b = c[:-d], c[d:]
                 ok = (a >= 0) & (b >= 0) & (block[:-d] == block[d:])
-                found += [a[ok] * size + b[ok], b[ok] * size + a[ok]]
+                found.append(np.minimum(a[ok], b[ok]) * size + np.maximum(a[ok], b[ok]))  # either order, told once
             for k, n in zip(*(x.tolist() for x in np.unique(np.concatenate(found), return_counts=True))):
                 total[k] = total.get(k, 0) + n
             if len(total) > 1_000_000:
@@ -230,11 +230,17 @@ def learn(words: DataFrame, share: float = 0.0015, number_share: float = 0.01, p
                 total.clear()
         yield out()
 
-    pairs = chunk_words(spoken, value=F.col("value")).mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(2, pair_share * pages)).toArrow().sort_by("pair")
-    pair, n = pairs.column("pair").to_numpy(), pairs.column("n").to_numpy()
+    pairs = chunk_words(spoken, value=F.col("value")).mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").cast("int").alias("n")).filter(F.col("n") >= max(2, pair_share * pages)).toArrow()
+    pair, n = pairs.column("pair").to_numpy(), pairs.column("n").to_numpy().astype(np.int64)
     if not len(pair):
         return model
     a, b = np.divmod(pair, size)
+    a, b, n = np.append(a, b), np.append(b, a), np.append(n, n)  # both ways; what stands beside its like counts for both
+    order = np.argsort(a * size + b, kind="stable")
+    a, b, n = a[order], b[order], n[order]
+    twice = np.append(False, (a[1:] == a[:-1]) & (b[1:] == b[:-1]))
+    n[:-1] += np.where(twice[1:], n[1:], 0)
+    a, b, n = a[~twice], b[~twice], n[~twice]
     model.word, model.context = skip_gram_vectors(a, b, n, size)
     model.linked = _links(model, a, b, n, ratio)
     model.least = true_fit(model, a, b, n, rare)
