@@ -14,6 +14,7 @@ from ..operators import exporters as E
 from ..operators import linear as N
 from ..operators import lines as L
 from ..operators import metrics as M
+from ..operators import predict as P
 from ..operators import reading as R
 from ..operators.typeset import predicted_words, typeset_words
 from ..session import table
@@ -613,6 +614,79 @@ def expand_line(spark, d):
     return words(spark, d).select(*PAGE, "word_idx", ends["x0"].alias("x0"), ends["y0"].alias("y0"))
 
 
+@query("SELECT doc_id, page_idx, a, b, round(iou, 6) AS iou FROM i", WORDS, PREDICTED, PAIRS)
+def polygon_iou(spark, d):
+    """Quads of overlapping words, clipped against each other."""
+    w = words(spark, d)
+    quad = lambda t: F.flatten(F.transform(G.box_polygon(*B.box_of(t)), lambda p: F.array(p["x"], p["y"])))
+    pairs = B.overlap_pairs(w, predicted_words(w), PAGE)
+    return pairs.select("a.doc_id", "a.page_idx", F.col("a.word_idx").alias("a"), F.col("b.word_idx").alias("b"), F.round(B.polygon_iou_column()(quad("a"), quad("b")), 6).alias("iou"))
+
+
+@query("SELECT w.doc_id, w.word_idx, CASE WHEN least(w.x1 - w.x0, p.x1 - p.x0) > 0 THEN greatest(least(w.x1, p.x1) - greatest(w.x0, p.x0), 0)::DOUBLE / least(w.x1 - w.x0, p.x1 - p.x0) ELSE 0.0 END AS ratio FROM w JOIN p USING (doc_id, page_idx, word_idx)", WORDS, PREDICTED)
+def overlap_ratio(spark, d):
+    w = words(spark, d)
+    p = predicted_words(w).select(*PAGE, "word_idx", F.col("x0").alias("p0"), F.col("x1").alias("p1"))
+    return w.join(p, [*PAGE, "word_idx"]).select("doc_id", "word_idx", G.overlap_ratio(F.col("x0"), F.col("x1"), F.col("p0"), F.col("p1")).alias("ratio"))
+
+
+@query("SELECT doc_id, page_idx, word_idx, round((y1 - y0) * cos(radians(30.0)) + (x1 - x0) * sin(radians(30.0)), 6) AS h, round((y1 - y0) * sin(radians(30.0)) + (x1 - x0) * cos(radians(30.0)), 6) AS w FROM w", WORDS)
+def expanded_shape(spark, d):
+    h, w = G.expanded_shape((F.col("y1") - F.col("y0")).cast("double"), (F.col("x1") - F.col("x0")).cast("double"), 30.0)
+    return words(spark, d).select(*PAGE, "word_idx", F.round(h, 6).alias("h"), F.round(w, 6).alias("w"))
+
+
+@query("SELECT doc_id, page_idx, word_idx, round((x0 + x1) / 2.0::DOUBLE + (-(x1 - x0) * 0.8::DOUBLE + (y1 - y0) * 0.6::DOUBLE) / 2, 6) AS x, round((y0 + y1) / 2.0::DOUBLE + (-(x1 - x0) * 0.6::DOUBLE - (y1 - y0) * 0.8::DOUBLE) / 2, 6) AS y FROM w", WORDS)
+def oriented_corners(spark, d):
+    """First corner of a box whose sine and cosine are not normalised."""
+    x0, y0, x1, y1 = (F.col(c).cast("double") for c in BOX)
+    first = G.oriented_box((x0 + x1) / 2, (y0 + y1) / 2, x1 - x0, y1 - y0, F.lit(1.2), F.lit(1.6))[0]
+    return words(spark, d).select(*PAGE, "word_idx", F.round(first["x"], 6).alias("x"), F.round(first["y"], 6).alias("y"))
+
+
+@query("SELECT doc_id, page_idx, query_idx, class_idx, round(1 / (1 + exp(-v)), 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, page_idx ORDER BY v DESC, query_idx, class_idx) AS k FROM (SELECT doc_id, page_idx, word_idx AS query_idx, 0 AS class_idx, (confidence_pct - 75) / 10::DOUBLE AS v FROM w UNION ALL SELECT doc_id, page_idx, word_idx, 1, (word_idx % 7 - 3)::DOUBLE FROM w)) WHERE k <= 20 AND 1 / (1 + exp(-v)) > 0.3", WORDS)
+def top_queries(spark, d):
+    w = words(spark, d).withColumnRenamed("word_idx", "query_idx")
+    logits = w.select(*PAGE, "query_idx", F.array((F.col("confidence_pct") - 75) / 10, (F.col("query_idx") % 7 - 3).cast("double")).alias("logits"))
+    return B.top_queries(logits, PAGE, 20).select(*PAGE, "query_idx", "class_idx", F.round("score", 6).alias("score"))
+
+
+@query("SELECT doc_id, page_idx, word_idx, round(least(greatest(x0 + 0.1::DOUBLE * y0 + 5, 0), 799) / 800, 9) AS x, round(least(greatest(y0 + 3::DOUBLE, 0), 999) / 1000, 9) AS y FROM w", WORDS)
+def to_original_coords(spark, d):
+    """Points under the inverse map of a straightened page."""
+    m = [[F.lit(v) for v in r] for r in ((1.0, 0.1, 5.0), (0.0, 1.0, 3.0), (0.0, 0.0, 1.0))]
+    x, y = G.affine(F.col("x0"), F.col("y0"), m, F.lit(800.0), F.lit(1000.0))
+    return words(spark, d).select(*PAGE, "word_idx", F.round(x, 9).alias("x"), F.round(y, 9).alias("y"))
+
+
+@query("SELECT doc_id, page_idx, word_idx, round((x0 - 400) * cos(radians(5.0)) - (y0 - 500) * sin(radians(5.0)) + 400, 6) AS x, round((x0 - 400) * sin(radians(5.0)) + (y0 - 500) * cos(radians(5.0)) + 500, 6) AS y FROM w", WORDS)
+def deskewed(spark, d):
+    p = G.upright(G.box_polygon(*(F.col(c) for c in BOX)), F.lit(5.0), G.point(F.lit(400.0), F.lit(500.0)))[0]
+    return words(spark, d).select(*PAGE, "word_idx", F.round(p["x"], 6).alias("x"), F.round(p["y"], 6).alias("y"))
+
+
+@query("SELECT page_id, t - 1 AS table_idx, c - 1 AS cell_idx, cell.row_end - cell.row_start + 1 AS row_span, cell.col_end - cell.col_start + 1 AS col_span FROM (SELECT page_id, t, unnest(range(1, len(tab.cells) + 1)) AS c, unnest(tab.cells) AS cell FROM (SELECT page_id, unnest(range(1, len(tables) + 1)) AS t, unnest(tables) AS tab FROM (SELECT page_id, arg_min(tables, received_at) AS tables FROM ocr_pages GROUP BY page_id)))")
+def cell_spans(spark, d):
+    p = table(spark, d, "ocr_pages").filter("tables is not null").groupBy("page_id").agg(F.min_by("tables", "received_at").alias("tables"))
+    t = p.select("page_id", F.posexplode("tables").alias("table_idx", "t")).select("page_id", F.col("table_idx").cast("long").alias("table_idx"), F.posexplode("t.cells").alias("cell_idx", "c"))
+    return t.select("page_id", "table_idx", F.col("cell_idx").cast("long").alias("cell_idx"), (F.col("c.row_end") - F.col("c.row_start") + 1).alias("row_span"), (F.col("c.col_end") - F.col("c.col_start") + 1).alias("col_span"))
+
+
+@query("SELECT doc_id, word_idx, value AS text FROM w WHERE regexp_full_match(value, '[A-Za-z0-9]+')", WORDS)
+def attention_decode(spark, d):
+    """Every plain word from logits over its own characters, an end mark and what follows it."""
+    codes = F.concat("codes", F.array(F.lit(len(VOCAB)), F.lit(1)))
+    steps = F.transform(codes, lambda c: F.transform(F.sequence(F.lit(0), F.lit(len(VOCAB))), lambda k: F.when(k == c, 5.0).otherwise((k * 7) % 5 / 2)))
+    return vocab_encode(spark, d).select("doc_id", "word_idx", X.attention_decode(steps, VOCAB, len(VOCAB), True)[0].alias("text"))
+
+
+@query("SELECT doc_id, word_idx, arg_max(c, {'s': s, 'c': c}) AS char, max(s) AS score FROM (SELECT doc_id, word_idx, unnest(['a', 'é', 'x', 'e']) AS c, unnest([word_idx * 7 % 10, word_idx * 3 % 10, 9, doc_id % 10]) AS s FROM w) WHERE c IN ('a', 'e') GROUP BY ALL", WORDS)
+def whitelist(spark, d):
+    c = F.explode(F.array(*(F.struct(F.lit(ch).alias("char"), v.alias("score")) for ch, v in zip("aéxe", (F.col("word_idx") * 7 % 10, F.col("word_idx") * 3 % 10, F.lit(9).cast("long"), F.col("doc_id") % 10)))))
+    cand = words(spark, d).select("doc_id", "word_idx", c.alias("c")).select("doc_id", "word_idx", "c.*")
+    return P.restricted(cand, "aéxe", "ae", ["doc_id", "word_idx"])
+
+
 def fields(spark, d) -> DataFrame:
     """Key information stand-in: the words of three classes of a document's page."""
     w = words(spark, d).filter("word_idx % 9 < 3")

@@ -44,10 +44,10 @@ def cube_counts(spark, d):
     return table(spark, d, "lineitem").cube("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).alias("n"), F.sum("l_linenumber").alias("s"))
 
 
-@query("SELECT o_orderkey, rank() OVER q AS rank, dense_rank() OVER q AS dense, CAST(ntile(4) OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice, o_orderkey) AS INT) AS quarter, lag(o_orderkey) OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice, o_orderkey) AS before FROM orders WINDOW q AS (PARTITION BY o_orderstatus ORDER BY o_totalprice)")
+@query("SELECT o_orderkey, rank() OVER q AS rank, dense_rank() OVER q AS dense, CAST(ntile(4) OVER (PARTITION BY o_custkey ORDER BY o_totalprice, o_orderkey) AS INT) AS quarter, lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_totalprice, o_orderkey) AS before FROM orders WINDOW q AS (PARTITION BY o_custkey ORDER BY o_totalprice)")
 def window_rank_analytic(spark, d):
-    q = Window.partitionBy("o_orderstatus").orderBy("o_totalprice")
-    r = Window.partitionBy("o_orderstatus").orderBy("o_totalprice", "o_orderkey")
+    q = Window.partitionBy("o_custkey").orderBy("o_totalprice")
+    r = Window.partitionBy("o_custkey").orderBy("o_totalprice", "o_orderkey")
     return table(spark, d, "orders").select("o_orderkey", F.rank().over(q).cast("long").alias("rank"), F.dense_rank().over(q).cast("long").alias("dense"), F.ntile(4).over(r).alias("quarter"), F.lag("o_orderkey").over(r).alias("before"))
 
 
