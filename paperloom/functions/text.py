@@ -116,12 +116,12 @@ def ctc_decode(steps: Column, vocab: str | Column, blank: int) -> tuple[Column,
     return decoded(kept, vocab), F.array_min(F.transform(steps, lambda s: F.array_max(softmax(s))))
 
 
-def until_eos(codes: Column, eos: int) -> Column:
+def until_eos(codes: Column, eos: int | Column) -> Column:
     k = F.array_position(codes, F.lit(eos)).cast("int")
     return F.when(k > 0, F.slice(codes, F.lit(1), k - 1)).otherwise(codes)
 
 
-def attention_decode(steps: Column, vocab: str, eos: int, whole: bool) -> tuple[Column, Column]:
+def attention_decode(steps: Column, vocab: str | Column, eos: int | Column, whole: bool) -> tuple[Column, Column]:
     """Text up to the end mark; confidence is the least of all steps (``whole``) or the mean over the text."""
     codes = until_eos(F.transform(steps, arg_max), eos)
     probs = F.transform(steps, lambda s: F.array_max(softmax(s)))

@@ -675,9 +675,12 @@ def cell_spans(spark, d):
 @query("SELECT doc_id, word_idx, value AS text FROM w WHERE regexp_full_match(value, '[A-Za-z0-9]+')", WORDS)
 def attention_decode(spark, d):
     """Every plain word from logits over its own characters, an end mark and what follows it."""
-    codes = F.concat("codes", F.array(F.lit(len(VOCAB)), F.lit(1)))
-    steps = F.transform(codes, lambda c: F.transform(F.sequence(F.lit(0), F.lit(len(VOCAB))), lambda k: F.when(k == c, 5.0).otherwise((k * 7) % 5 / 2)))
-    return vocab_encode(spark, d).select("doc_id", "word_idx", X.attention_decode(steps, VOCAB, len(VOCAB), True)[0].alias("text"))
+    w = words(spark, d).filter(F.col("value").rlike("^[A-Za-z0-9]+$")).select("doc_id", "word_idx", X.characters(F.col("value")).alias("chars"))
+    w = w.withColumn("symbols", F.array_distinct("chars"))
+    end = F.size("symbols")
+    codes = F.concat(F.transform("chars", lambda c: F.array_position("symbols", c).cast("int") - 1), F.array(end, F.lit(0)))
+    steps = F.transform(codes, lambda c: F.transform(F.sequence(F.lit(0), end), lambda k: F.when(k == c, 5.0).otherwise((k * 7) % 5 / 2)))
+    return w.withColumn("steps", steps).select("doc_id", "word_idx", X.attention_decode(F.col("steps"), F.col("symbols"), end, True)[0].alias("text"))
 
 
 @query("SELECT doc_id, word_idx, arg_max(c, {'s': s, 'c': c}) AS char, max(s) AS score FROM (SELECT doc_id, word_idx, unnest(['a', 'é', 'x', 'e']) AS c, unnest([word_idx * 7 % 10, word_idx * 3 % 10, 9, doc_id % 10]) AS s FROM w) WHERE c IN ('a', 'e') GROUP BY ALL", WORDS)
