@@ -62,3 +62,15 @@ def test_prefix_of_many_rare_words(spark):
     evidence = {r.doc_id: r for r in truncated(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert evidence[2000].by_prefix and evidence[2001].by_prefix
     assert not any(evidence[i].by_prefix for i in [*range(300), *range(1000, 1006)])
+
+
+def test_evidence_by_text_and_long_entries(spark):
+    """Ids that are null or shared by different texts do not mix their evidence; an entry of any length is one."""
+    texts = corpus()
+    rows = [(i, t, f"s{i % 3}", None, None) for i, t in enumerate(texts)]
+    rows += [(None, texts[1] + " The invo", "s1", None, None), (1, texts[2] + " The cont", "s2", None, None)]
+    entry = "a list of the customer record and the receipt and the contract " * 5 + "for the month"
+    rows += [(4000 + k, f"- {entry}\n- {entry}\nThe invoice mentions the contract.", "s0", None, None) for k in range(2)] + [(4100, f"The invoice mentions the contract.\n\n{entry}", "s1", None, None)]
+    got = [(r.doc_id, r.cut, r.by_prefix) for r in truncated(spark.createDataFrame(rows, SCHEMA)).collect()]
+    assert (None, True, True) in got and sorted(c for i, c, _ in got if i == 1) == [False, True]
+    assert not any(c for i, c, _ in got if i in (4000, 4001))
