@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geometry import intersection, sigmoid
+from ..functions.geometry import sigmoid
 
 
 def box_of(t: str) -> tuple[Column, ...]:
