@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import normal_label, text_direction
 from ..session import checkpoint
-from .reading import covering_labels, page_reading_order, reading_segments
+from .reading import covering_labels, in_reading_order, page_reading_order, reading_segments
 
 BOX = ["x0", "y0", "x1", "y1"]
 
@@ -96,10 +96,12 @@ def attached_artefacts(items: DataFrame, lines: DataFrame, artefacts: DataFrame,
 
 
 def ordered_predictions(predictions: DataFrame, keys: list[str], direction: str = "ltr") -> DataFrame:
-    """Predictions of key information with ``position``: their reading order inside the page and class."""
-    numbered = predictions.withColumn("_n", F.row_number().over(Window.partitionBy(*keys, "class_idx").orderBy("y0", "x0", "value")).cast("long"))
-    order = page_reading_order(numbered, [*keys, "class_idx"], "_n", None, direction)
-    return numbered.drop("position").join(order, [*keys, "class_idx", "_n"]).drop("_n")
+    """Predictions of key information with ``position``: their reading order inside the page and class, in which their rows come; without a page or class they have none and are left out."""
+    within = [*keys, "class_idx"]
+    rest = [c for c in predictions.columns if c not in (*within, "position")]
+    placed = predictions.filter(" and ".join(f"{c} is not null" for c in within)).select(*within, *rest)
+    numbered = placed.withColumn("_n", F.row_number().over(Window.partitionBy(*within).orderBy("y0", "x0", "value")))
+    return in_reading_order(numbered, "_n", direction)
 
 
 def reordered_blocks(items: DataFrame, keys: list[str]) -> DataFrame:

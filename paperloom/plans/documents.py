@@ -603,9 +603,12 @@ def page_exported(spark, d):
 @query("SELECT doc_id, page_idx, class_idx, word_idx, value FROM fl JOIN w USING (doc_id, page_idx, word_idx, value)", WORDS, """,
 fl AS (SELECT doc_id, page_idx, word_idx % 9 AS class_idx, word_idx, value FROM w WHERE word_idx % 9 < 3)""")
 def kie_predictions(spark, d):
-    """Key information in the order of its classes and of reading."""
-    w = words(spark, d).filter("word_idx % 9 < 3").withColumn("class_idx", F.col("word_idx") % 9)
-    return N.ordered_predictions(w, PAGE).select(*PAGE, "class_idx", "word_idx", "value")
+    """Key information in the order of its classes and of reading.
+
+    Texts are shared out by document before they become words: every later step stays in its partition.
+    """
+    w = typeset_words(table(spark, d, "documents").repartition("doc_id")).filter("word_idx % 9 < 3").withColumn("class_idx", F.col("word_idx") % 9)
+    return N.ordered_predictions(w.select(*PAGE, "class_idx", "word_idx", "value", *BOX), PAGE).select(*PAGE, "class_idx", "word_idx", "value")
 
 
 @query("SELECT doc_id, page_idx, word_idx, CASE WHEN (x1 - x0) * 1000 >= 2 * 800 THEN 0.0 ELSE x0 - y0 * (x1 - x0) / 2.0::DOUBLE END AS x0, CASE WHEN (x1 - x0) * 1000 >= 2 * 800 THEN y0 - x0 * 2.0::DOUBLE / (x1 - x0) ELSE 0.0 END AS y0 FROM w", WORDS)
